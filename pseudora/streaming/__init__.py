@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch only, so no streaming operator is provided."""
