@@ -18,6 +18,7 @@ UNICODE_WHITESPACE = (
 )
 
 _NAME_KEEPS = re.compile("[A-Za-z0-9 -]")
+_EXPANDS = "\x01"
 
 
 def empty_string_to_null(value: Column) -> Column:
@@ -68,8 +69,8 @@ def collapse_whitespace(value: Column) -> Column:
 def _ascii_forms() -> tuple[str, str, dict[str, str]]:
     """Derive, from the Unicode database, what each non-ASCII character leaves in a match name.
 
-    Returns the two aligned strings for ``translate`` (characters that leave exactly one
-    character, and whitespace) and a dictionary for those that leave several, such as ligatures.
+    Returns the two aligned strings for ``translate`` and a dictionary of the characters that
+    leave several, such as ligatures; ``translate`` turns those into a mark.
     """
     source, target, longer = [], [], {}
     for code_point in range(sys.maxunicode + 1):
@@ -87,6 +88,8 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
             source.append(char)
             target.append(kept)
         elif kept:
+            source.append(char)
+            target.append(_EXPANDS)
             longer[char] = kept
     return "".join(source), "".join(target), longer
 
@@ -95,19 +98,21 @@ def match_name(value: Column) -> Column:
     """Name form for matching: no accents, only ``A-Z 0-9`` space and hyphen, upper case.
 
     Letters without a decomposition (such as the Polish barred l) are dropped, not replaced.
-    Rows holding a character that expands to several take a slower per-character branch;
-    everything else is one ``translate``.
+    One ``translate`` does nearly all texts. Only those in which it marked a character that
+    expands to several are cut at these characters and put together again.
     """
     source, target, longer = _ascii_forms()
     text = value.cast("string")
+    plain = F.translate(text, source, target)
     expansions = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
-    expanded = F.array_join(
-        F.transform(F.split(text, ""), lambda char: F.coalesce(expansions[char], char)), ""
+    cut = F.regexp_replace(text, "([" + "".join(longer) + "])", f"{_EXPANDS}$1{_EXPANDS}")
+    pieces = F.transform(
+        F.split(cut, _EXPANDS), lambda piece: F.coalesce(expansions[piece], piece)
     )
-    has_expansion = text.rlike("[" + "".join(longer) + "]")
-    plain = F.translate(F.when(has_expansion, expanded).otherwise(text), source, target)
-    letters = F.regexp_replace(plain, "[^A-Za-z0-9 -]+", "")
-    return F.nullif(F.upper(F.trim(F.regexp_replace(letters, " +", " "))), F.lit(""))
+    expanded = F.translate(F.array_join(pieces, ""), source, target)
+    ascii_text = F.when(plain.contains(_EXPANDS), expanded).otherwise(plain)
+    letters = F.regexp_replace(ascii_text, "[^A-Za-z0-9 -]+", "")
+    return F.nullif(F.upper(F.trim(F.regexp_replace(letters, " {2,}", " "))), F.lit(""))
 
 
 def mask_email(value: Column) -> Column:

@@ -153,9 +153,12 @@ def build_semantic_mapping_candidates(
 
 
 def build_mapping_decisions(candidates: DataFrame) -> DataFrame:
-    """Best candidate of each column, lowest concept id first among equals, with its band."""
+    """Best candidate of each column, lowest concept id first among equals, with its band.
+
+    Should the dictionary repeat an id, the other concept columns settle the order.
+    """
     best_first = Window.partitionBy(*GROUP_KEY).orderBy(
-        F.col("mapping_score").desc(), F.col("concept_id").asc()
+        F.col("mapping_score").desc(), *CONCEPT_COLUMNS
     )
     score = F.col("mapping_score")
     decision = (

@@ -71,12 +71,13 @@ def sample_values(counts: DataFrame) -> DataFrame:
     """The smallest distinct values of each column, joined.
 
     The rank filter is applied before the shuffle too, so at most ``SAMPLE_SIZE`` values per
-    column and partition move. The count filter drops nothing; it keeps this branch reading the
-    same shuffled counts as the statistics.
+    column and partition move. NULL ranks last and is skipped when the values are collected; were
+    it, or the counts, left out earlier, the optimizer would scan and count a second time for this
+    branch instead of reading the shuffled counts of the statistics again.
     """
-    smallest = Window.partitionBy("place").orderBy("value")
+    smallest = Window.partitionBy("place").orderBy(F.col("value").asc_nulls_last())
     return (
-        counts.where(F.col("value").isNotNull() & (F.col("value_count") > 0))
+        counts.where(F.col("value_count") > 0)
         .withColumn("rank", F.row_number().over(smallest))
         .where(F.col("rank") <= SAMPLE_SIZE)
         .groupBy("place")

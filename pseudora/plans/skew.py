@@ -74,7 +74,9 @@ def _own_cell(parts: Column, spread_by: Column | None) -> Column:
 
 
 def _every_cell(parts: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    # The constant array for the common single cell costs next to nothing per row.
+    cells = F.sequence(F.lit(0), F.col(parts) - 1)
+    return F.explode(F.when(F.col(parts) == 1, F.array(F.lit(0))).otherwise(cells))
 
 
 def spread_left_join(

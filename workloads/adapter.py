@@ -83,17 +83,21 @@ SELECT ' erp ' AS source_system, CONCAT('ERP-', {_KEY}) AS source_customer_id,
   '2024-12-02T10:00:00Z' AS consent_updated_at
 FROM customer WHERE c_custkey % 2 = 0""",
     "consents_repeated": """
-SELECT 'CRM' AS source_system, CONCAT('CRM-', CAST(user_id AS STRING)) AS source_customer_id,
+SELECT CASE WHEN event_id % 8 = 0 THEN 'erp' ELSE 'CRM' END AS source_system,
+  CONCAT(CASE WHEN event_id % 8 = 0 THEN 'ERP-' ELSE 'CRM-' END, CAST(user_id AS STRING))
+    AS source_customer_id,
   CASE event_type WHEN 'purchase' THEN 'true' ELSE 'false' END AS analytics_consent,
   CASE event_type WHEN 'click' THEN 'true' ELSE 'false' END AS marketing_consent,
   CAST(ts AS STRING) AS consent_updated_at
 FROM events""",
     "deletions_raw": """
-SELECT CONCAT('DEL-', CAST(o_orderkey AS STRING)) AS request_id, 'CRM' AS source_system,
-  CONCAT('CRM-', CAST(o_custkey AS STRING)) AS source_customer_id,
+SELECT CONCAT('DEL-', CAST(o_orderkey AS STRING)) AS request_id,
+  CASE WHEN o_orderkey % 9 = 0 THEN ' erp' ELSE 'CRM' END AS source_system,
+  CONCAT(CASE WHEN o_orderkey % 9 = 0 THEN 'ERP-' ELSE 'CRM-' END, CAST(o_custkey AS STRING))
+    AS source_customer_id,
   CASE WHEN o_orderkey % 7 = 0 THEN 'soon' ELSE CAST(o_orderdate AS STRING) END AS requested_at,
-  CASE o_orderstatus WHEN 'F' THEN ' approved ' WHEN 'P' THEN 'Active' ELSE 'PENDING' END
-    AS status
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'Rejected' WHEN o_orderstatus = 'F' THEN ' approved '
+    WHEN o_orderstatus = 'P' THEN 'Active' ELSE 'PENDING' END AS status
 FROM orders""",
     "policies_raw": """
 SELECT CASE s_suppkey % 2 WHEN 0 THEN 'CRM' ELSE ' Erp' END AS source_system,
@@ -116,7 +120,8 @@ FROM (VALUES
   ('C007', 'created timestamp', 'created_at', 'NONE', 'time of creation')
 ) AS base (concept_id, concept_name, canonical_field_name, pii_category, description)
 UNION ALL
-SELECT DISTINCT CONCAT('P-', REPLACE(p_name, ' ', '-')) AS concept_id, p_name AS concept_name,
+SELECT DISTINCT CONCAT(CASE WHEN p_size > 25 THEN 'Q-' ELSE 'P-' END, REPLACE(p_name, ' ', '-'))
+    AS concept_id, p_name AS concept_name,
   CONCAT(REPLACE(p_name, ' ', '_'), CASE WHEN p_size > 25 THEN '_id' ELSE '' END)
     AS canonical_field_name,
   'NONE' AS pii_category, 'goods' AS description
