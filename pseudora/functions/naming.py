@@ -31,7 +31,7 @@ def infer_simple_type(column_name: Column) -> Column:
 
 def normalize_identifier(value: Column) -> Column:
     """Slug: runs of anything but ASCII letters and digits become one underscore."""
-    return F.lower(F.regexp_replace(F.trim(value.cast("string")), "[^a-zA-Z0-9]+", "_"))
+    return F.lower(F.regexp_replace(F.trim(value.cast("string")), r"\P{Alnum}+", "_"))
 
 
 def all_substrings(value: Column) -> Column:

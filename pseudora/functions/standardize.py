@@ -111,7 +111,8 @@ def match_name(value: Column) -> Column:
     )
     expanded = F.translate(F.array_join(pieces, ""), source, target)
     ascii_text = F.when(plain.contains(_EXPANDS), expanded).otherwise(plain)
-    letters = F.regexp_replace(ascii_text, "[^A-Za-z0-9 -]+", "")
+    # \p{Alnum} is ASCII only and, in Java, many times faster than the spelled out ranges
+    letters = F.regexp_replace(ascii_text, r"[^\p{Alnum} -]+", "")
     return F.nullif(F.upper(F.trim(F.regexp_replace(letters, " {2,}", " "))), F.lit(""))
 
 
