@@ -35,10 +35,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     A machine-local folder is made only for a session without executors on other machines.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="pseudora-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/") + "/" + spark.sparkContext.applicationId
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pseudora-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/") + "/" + context.applicationId

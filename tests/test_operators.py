@@ -1,0 +1,491 @@
+"""Operators against brute force on small tables, and the shape of their plans."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from pseudora.operators import bronze, controls, eligibility, identity, mapping, pairs, profiling
+from pseudora.operators import reports
+
+TS = datetime(2025, 1, 1)
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def profile(df, columns=None):
+    return profiling.profile_columns(
+        df,
+        source_system="s",
+        table_name="t",
+        columns=columns or df.columns,
+        batch_id="b",
+        run_ts=TS,
+    )
+
+
+# --- bronze -----------------------------------------------------------------------------------
+
+
+def test_bronze_metadata(spark):
+    df = spark.createDataFrame([("1", None)], "`a.b` string, c string")
+    raw = bronze.add_bronze_metadata(
+        df, source_system="crm", source_file="/x/f.csv", batch_id="b", run_ts=TS
+    )
+    assert raw.columns == [
+        "a.b", "c", "_source_system", "_source_file", "_ingested_at", "_batch_id", "_record_hash",
+    ]
+    row = raw.first()
+    assert (row["_source_system"], row["_source_file"], row["_ingested_at"]) == (
+        "crm", "/x/f.csv", TS,
+    )
+    assert len(row["_record_hash"]) == 64
+
+
+# --- profiling --------------------------------------------------------------------------------
+
+
+def test_profile_of_awkward_columns(spark):
+    df = spark.createDataFrame(
+        [("b", None, 0.0), ("a", None, -0.0), ("a", None, 1.5), (None, None, None)] * 3
+        + [(c, None, None) for c in "fedc"],
+        "`x.y` string, n string, zero_id double",
+    )
+    got = {r.column_name: r for r in profile(df).collect()}
+    xy, n, zero = got["x.y"], got["n"], got["zero_id"]
+    assert (xy.row_count, xy.null_count, xy.distinct_count) == (16, 3, 6)
+    assert (xy.null_rate, xy.distinct_rate) == (3 / 16, 6 / 16)
+    assert (xy.min_length, xy.max_length, xy.avg_length) == (1, 1, 1.0)
+    assert xy.sample_values == "a | b | c | d | e"
+    assert (n.null_count, n.distinct_count, n.min_length, n.avg_length) == (16, 0, None, None)
+    assert n.sample_values == ""
+    assert (zero.distinct_count, zero.inferred_type) == (2, "identifier")
+    assert zero.sample_values == "-0.0 | 0.0 | 1.5"
+    assert (xy.profiled_at, xy.batch_id) == (TS, "b")
+
+
+def test_profile_of_an_empty_table(spark):
+    got = profile(spark.createDataFrame([], "a string, b int")).collect()
+    assert [r.column_name for r in sorted(got)] == ["a", "b"]
+    for r in got:
+        assert (r.row_count, r.null_count, r.null_rate) == (0, None, None)
+        assert (r.distinct_count, r.distinct_rate, r.sample_values) == (0, None, "")
+
+
+def test_profile_scans_once_and_limits_samples_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 7 AS k").write.parquet(path)
+    df = profile(spark.read.parquet(path))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final
+    assert final.count("WindowGroupLimit") == 2
+
+
+def test_profile_needs_tables_and_columns(spark):
+    with pytest.raises(ValueError, match="tables"):
+        profiling.profile_sources(spark=spark, specs=[], target_table="x", batch_id="b")
+    spark.range(1).drop("id").createOrReplaceTempView("bare")
+    spec = profiling.SourceTableSpec("s", "bare", "bare")
+    with pytest.raises(ValueError, match="columns"):
+        profiling.profile_table(spark=spark, spec=spec, batch_id="b")
+
+
+# --- mapping ----------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def metadata(spark):
+    names = [
+        "email", "Email Address", "full name", "name", "_batch", "%%", " ", "id", "a", "dob",
+        "birth_date", "date_of_birth", "created_at", "zip", None,
+    ]
+    profiles = spark.createDataFrame(
+        [("s", "t", n, i, 0.5, i, 0.25, None if i % 5 == 4 else "email" if "email" in (n or "").lower() else "name" if i % 2 else "date") for i, n in enumerate(names * 2)],
+        "source_system string, table_name string, column_name string, row_count long, "
+        "null_rate double, distinct_count long, distinct_rate double, inferred_type string",
+    )
+    concepts = spark.createDataFrame(
+        [
+            ("C1", "email", "email"), ("C1", "email", "email"), ("C3", "full name", "full_name"),
+            ("C4", "date of birth", "date_of_birth"), ("C5", "", "x"), ("C6", None, "address"),
+            ("C7", "id", None), ("C8", "stamp", "Created At"), ("C9", "", ""), ("CA", "!", "?"),
+        ],
+        "concept_id string, concept_name string, canonical_field_name string",
+    ).withColumns({"pii_category": F.lit("P"), "description": F.lit("d")})
+    return profiles, concepts
+
+
+def brute_force_candidates(profiles, concepts):
+    a, b, c = (
+        f"lower(regexp_replace(trim({n}), '[^a-zA-Z0-9]+', '_'))"
+        for n in ("column_name", "canonical_field_name", "concept_name")
+    )
+    kind, field = "lower(coalesce(inferred_type, ''))", "lower(canonical_field_name)"
+    flags = [
+        (f"{a} = {b}", 0.65),
+        (f"{a} = {c}", 0.55),
+        (f"contains({a}, {b}) or contains({b}, {a})", 0.25),
+        (f"contains({a}, {c}) or contains({c}, {a})", 0.15),
+        (
+            f"{kind} = {field} or ({kind} = 'name' and {field} = 'full_name') "
+            f"or ({kind} = 'date' and {field} = 'date_of_birth')",
+            0.20,
+        ),
+    ]
+    score = " + ".join(f"if({f}, {w}D, 0D)" for f, w in flags)
+    return (
+        profiles.where("not startswith(column_name, '_')")
+        .crossJoin(concepts)
+        .withColumn("mapping_score", F.expr(f"least(1D, {score})"))
+        .where("mapping_score >= 0.3")
+    )
+
+
+def test_candidates_equal_the_full_comparison(metadata):
+    got = mapping.build_semantic_mapping_candidates(*metadata, batch_id="b", run_ts=TS)
+    want = brute_force_candidates(*metadata)
+    shown = [
+        "column_name", "row_count", "inferred_type", "concept_id", "concept_name",
+        "canonical_field_name", "mapping_score",
+    ]
+    assert rows(got.select(*shown)) == rows(want.select(*shown))
+    assert got.count() > 20
+    assert len(got.columns) == 17
+
+
+def test_decisions(metadata):
+    candidates = mapping.build_semantic_mapping_candidates(*metadata, batch_id="b", run_ts=TS)
+    decisions = mapping.build_mapping_decisions(candidates)
+    best = {r.column_name: r for r in decisions.collect()}
+    assert len(best) == decisions.count()
+    assert best.keys() == {r.column_name for r in candidates.collect()}
+    assert (best["email"].concept_id, best["email"].decision) == ("C1", "AUTO_ACCEPT")
+    assert best["email"].mapping_reason == (
+        "CANONICAL_EXACT,CONCEPT_EXACT,CANONICAL_PARTIAL,CONCEPT_PARTIAL,INFERRED_TYPE_MATCH"
+    )
+    assert best["Email Address"].decision == "REVIEW_REQUIRED"
+    assert best["zip"].decision == "LOW_CONFIDENCE"  # only the blank concept is contained in it
+    assert len(decisions.columns) == 13
+
+
+def test_mapping_plan_has_no_product(metadata):
+    candidates = mapping.build_semantic_mapping_candidates(*metadata, batch_id="b", run_ts=TS)
+    text = plan(mapping.build_mapping_decisions(candidates))
+    assert "CartesianProduct" not in text
+    assert "NestedLoop" not in text
+    assert "WindowGroupLimit" in text
+
+
+# --- identity ---------------------------------------------------------------------------------
+
+
+def test_first_existing_column(spark):
+    df = spark.createDataFrame([(None, "2"), ("1", "2")], "Mobile string, PHONE string")
+    pick = identity.first_existing_column(df, ["mobile", "phone", "tel"])
+    assert [r.v for r in df.select(pick.alias("v")).collect()] == ["2", "1"]
+    nothing = df.select(identity.first_existing_column(df, ["fax"]).alias("v"))
+    assert nothing.dtypes == [("v", "string")]
+    assert [r.v for r in nothing.collect()] == [None, None]
+
+
+def standardized(spark, values, schema):
+    raw = bronze.add_bronze_metadata(
+        spark.createDataFrame(values, schema),
+        source_system="x", source_file="f", batch_id="b", run_ts=TS,
+    )
+    return identity.build_standardized_customer_df(
+        raw, source_system="crm", source_dataset_name="d", pseudonymization_salt="s"
+    )
+
+
+def test_standardized_names_and_addresses(spark):
+    got = standardized(
+        spark,
+        [
+            ("1", None, "Ewa", "Lis", "A", None),
+            ("2", "", "Ewa", "Lis", None, None),
+            ("3", None, None, None, None, "PL"),
+            (" ", "X  Y", None, None, None, None),
+        ],
+        "id string, full_name string, first_name string, surname string, street string, country string",
+    ).collect()
+    assert [r.standard_name for r in got] == ["ewa lis", None, None, "x y"]
+    assert [r.address_text for r in got] == ["a", None, "pl", None]
+    assert [r.source_record_id for r in got] == ["1", "2", "3", None]
+    assert [r.customer_pseudo_id is None for r in got] == [False, True, True, False]
+    assert len(got[0]) == 16
+
+
+# --- compliance -------------------------------------------------------------------------------
+
+
+def lineage(df):
+    return df.withColumns(
+        {"_source_file": F.lit("f"), "_ingested_at": F.lit(TS), "_batch_id": F.lit("b")}
+    )
+
+
+def test_control_views_survive_malformed_values(spark):
+    consents = lineage(
+        spark.createDataFrame(
+            [(" CRM ", " 1 ", "Yes", None, "2024-12-01T10:00:00Z"), ("erp", "2", "x", "1", "bad")],
+            "source_system string, source_customer_id string, analytics_consent string, "
+            "marketing_consent string, consent_updated_at string",
+        )
+    )
+    first, second = controls.build_consent_status(consents, run_ts=TS).collect()
+    assert (first.source_system, first.source_record_id) == ("crm", " 1 ")
+    assert (first.raw_analytics_consent, first.raw_marketing_consent) == (True, False)
+    assert first.consent_updated_at == datetime(2024, 12, 1, 10)
+    assert (second.raw_analytics_consent, second.consent_updated_at) == (False, None)
+    policies = lineage(
+        spark.createDataFrame(
+            [("CRM", " Data ", "d", "30", "o"), ("CRM", "x", "d", "many", "o")],
+            "source_system string, dataset_name string, date_column string, "
+            "retention_days string, policy_owner string",
+        )
+    )
+    got = controls.build_retention_policy(policies, run_ts=TS).collect()
+    assert [(r.dataset_name, r.retention_days) for r in got] == [("data", 30), ("x", None)]
+
+
+def test_active_deletions_take_the_earliest_then_lowest(spark):
+    requests = spark.createDataFrame(
+        [
+            ("R3", "crm", "1", datetime(2024, 2, 1), "ACTIVE"),
+            ("R2", "crm", "1", datetime(2024, 1, 1), "APPROVED"),
+            ("R1", "crm", "1", datetime(2024, 1, 1), "COMPLETED"),
+            ("R0", "crm", "1", None, "ACTIVE"),
+            ("R5", "crm", "1", datetime(2020, 1, 1), "PENDING"),
+            ("R9", "crm", "2", None, "ACTIVE"),
+            ("R8", "erp", "3", None, "REJECTED"),
+        ],
+        "request_id string, source_system string, source_record_id string, "
+        "requested_at timestamp, status string",
+    )
+    got = rows(controls.active_deletions(requests))
+    assert got == Counter(
+        [
+            ("crm", "1", "R1", True, datetime(2024, 1, 1), "COMPLETED"),
+            ("crm", "2", "R9", True, None, "ACTIVE"),
+        ]
+    )
+
+
+def eligibility_of(spark, identities, consents, deletions=(), policies=(), **options):
+    identity_df = spark.createDataFrame(
+        identities,
+        "source_system string, source_dataset_name string, source_record_id string, "
+        "email_hash string, _ingested_at timestamp",
+    ).withColumns(
+        {
+            name: F.lit(None).cast("string")
+            for name in (
+                "customer_pseudo_id", "phone_hash", "standard_email", "standard_phone",
+                "standard_name", "date_of_birth", "postal_code", "address_text",
+                "source_record_hash", "_source_file", "_batch_id",
+            )
+        }
+    )
+    consent_df = spark.createDataFrame(
+        consents,
+        "source_system string, source_record_id string, raw_analytics_consent boolean, "
+        "raw_marketing_consent boolean, consent_updated_at timestamp",
+    )
+    deletion_df = spark.createDataFrame(
+        list(deletions),
+        "request_id string, source_system string, source_record_id string, "
+        "requested_at timestamp, status string",
+    )
+    policy_df = spark.createDataFrame(
+        list(policies),
+        "source_system string, dataset_name string, date_column string, retention_days int, "
+        "policy_owner string",
+    )
+    return eligibility.build_processing_eligibility(
+        identity_candidates=identity_df,
+        consent_status=consent_df,
+        deletion_requests=deletion_df,
+        retention_policy=policy_df,
+        as_of=date(2025, 1, 1),
+        run_ts=TS,
+        **options,
+    )
+
+
+@pytest.mark.parametrize("rows_per_task", [2, 1_000_000])
+def test_eligibility_rules(spark, rows_per_task):
+    new, edge, old = datetime(2024, 12, 1), datetime(2024, 12, 2), datetime(2024, 1, 1)
+    identities = [
+        ("crm", "d", "free", "h", new),
+        ("crm", "d", "deleted", "h", new),
+        ("crm", "d", "limit", "h", edge),
+        ("crm", "d", "expired", "h", old),
+        ("crm", "d", None, "h", new),
+        ("crm", "d", "nohash", None, new),
+        ("crm", "d", "silent", "h", new),
+        ("crm", "d", "undated", "h", None),
+        ("crm", "d", "twice", "h", new),
+        ("crm", "other", "free", "h", old),
+    ]
+    yes = [(i[0], i[2], True, True, None) for i in identities[:6] + identities[7:9]]
+    consents = yes + [("crm", "twice", False, True, None), ("crm", None, True, True, None)]
+    df = eligibility_of(
+        spark,
+        identities,
+        consents,
+        [("R", "crm", "deleted", None, "ACTIVE"), ("Q", "crm", "free", None, "PENDING")],
+        [("crm", "d", "x", 31, "me")],
+        rows_per_task=rows_per_task,
+    )
+    assert len(df.columns) == 36
+    got = {}
+    for r in df.collect():
+        key = (r.source_dataset_name, r.source_record_id, r.raw_analytics_consent)
+        got[key] = (r.can_process_for_analytics, r.suppression_reasons, r.suppression_reason)
+    assert df.count() == 11  # one identity has two consents
+    assert got["d", "free", True] == (True, [], None)
+    assert got["d", "deleted", True] == (False, ["DELETION_REQUESTED"], "DELETION_REQUESTED")
+    assert got["d", "limit", True][0] is True
+    assert got["d", "expired", True][1] == ["RETENTION_EXPIRED"]
+    assert got["d", None, False][1] == [
+        "INVALID_IDENTIFIER", "NO_ANALYTICS_CONSENT", "NO_MARKETING_CONSENT",
+    ]
+    assert got["d", "nohash", True][1] == ["INVALID_IDENTIFIER"]
+    assert got["d", "silent", False][1] == ["NO_ANALYTICS_CONSENT", "NO_MARKETING_CONSENT"]
+    assert got["d", "undated", True][:2] == (None, [])
+    assert got["d", "twice", False][1] == ["NO_ANALYTICS_CONSENT"]
+    assert got["other", "free", True][0] is True  # 3650 days where no policy applies
+
+    events = eligibility.build_compliance_events(df, run_ts=TS)
+    assert events.count() == sum(len(r.suppression_reasons) for r in df.collect())
+    linked = {r.related_request_id for r in events.where("event_type = 'DELETION_REQUESTED'").collect()}
+    assert linked == {"R"}
+    assert events.where("event_type <> 'DELETION_REQUESTED' AND related_request_id IS NOT NULL").count() == 0
+
+
+def test_derived_dataset_names(spark):
+    columns = [
+        "customer_pseudo_id", "email_hash", "phone_hash", "standard_email", "standard_phone",
+        "standard_name", "date_of_birth", "postal_code", "address_text", "source_record_hash",
+        "_source_file", "_ingested_at", "_batch_id",
+    ]
+    df = spark.createDataFrame(
+        [("CRM", 1), ("erp", 2), ("web", 3)], "source_system string, source_record_id int"
+    ).withColumns({c: F.lit(None).cast("string") for c in columns})
+    got = eligibility.prepare_identity_candidates(df).collect()
+    assert [(r.source_system, r.source_dataset_name, r.source_record_id) for r in got] == [
+        ("crm", "crm_customers", "1"), ("erp", "erp_clients", "2"), ("web", None, "3"),
+    ]
+
+
+def test_retention_by_event_date(spark):
+    records = spark.createDataFrame(
+        [
+            ("crm", "d", "2024-12-01", "2000-01-01"),
+            ("crm", "d", "2024-12-02T10:00:00Z", None),
+            ("crm", "d", "never", None),
+            ("crm", "d", None, "2000-01-01"),
+            ("crm", "e", "2000-01-01", "2024-12-31"),
+            ("crm", "none", "2000-01-01", "2000-01-01"),
+        ],
+        "source_system string, source_dataset_name string, Updated string, made string",
+    )
+    policy = spark.createDataFrame(
+        [("crm", "d", "updated", 30, "o"), ("crm", "e", "missing", 1, "o")],
+        "source_system string, dataset_name string, date_column string, retention_days int, "
+        "policy_owner string",
+    )
+    got = eligibility.flag_retention_by_event_date(records, policy, as_of=date(2025, 1, 1))
+    assert [r.retention_expired for r in got.collect()] == [True, False, False, False, False, False]
+
+
+# --- pairs ------------------------------------------------------------------------------------
+
+
+def people(spark, values):
+    return spark.createDataFrame(
+        values,
+        "source_system string, source_record_id string, email_hash string, phone_hash string, "
+        "can_process_for_entity_resolution boolean",
+    ).withColumns(
+        {
+            "standard_name": F.concat(F.lit("name "), "source_record_id"),
+            "date_of_birth": F.lit("1990-01-01"),
+            "postal_code": F.lit("00-001"),
+            "address_text": F.lit("prosta 1"),
+        }
+    )
+
+
+@pytest.mark.parametrize("rows_per_task", [3, 1_000_000])
+def test_linked_pairs_connect_every_group_without_all_pairs(spark, rows_per_task):
+    values = [("crm", f"{i:03}", "hot" if i % 3 == 0 else f"e{i // 4}", f"p{i % 50}" if i % 2 else None, i % 10 != 5) for i in range(150)]
+    values += values[:10]  # copies
+    df = pairs.block_pairs(people(spark, values), rows_per_task=rows_per_task)
+    got = [(r.left_source_record_id, r.right_source_record_id) for r in df.collect()]
+    assert len(got) == len(set(got)) <= 2 * 150
+    assert all(a < b for a, b in got)
+
+    def components(edges):
+        root = {v[1]: v[1] for v in values}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            root[find(a)] = find(b)
+        groups = {}
+        for x in root:
+            groups.setdefault(find(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    allowed = [v for v in values if v[4]]
+    every = [
+        (a[1], b[1])
+        for a in allowed
+        for b in allowed
+        if (a[2] == b[2]) or (a[3] is not None and a[3] == b[3])
+    ]
+    assert components(got) == components(every)
+
+
+def test_attached_records_and_scores(spark):
+    records = people(spark, [("crm", "1", "e", None, True), ("erp", "1", "e", None, True), ("erp", "2", None, None, True)])
+    given = spark.createDataFrame(
+        [("crm", "1", "erp", "1"), ("crm", "1", "erp", "2"), ("crm", "1", "erp", "9")],
+        "left_source_system string, left_source_record_id string, "
+        "right_source_system string, right_source_record_id string",
+    )
+    for rows_per_task in (1, 1000):
+        found = pairs.attach_pair_records(given, records, rows_per_task=rows_per_task)
+        got = {r.right_source_record_id: r for r in pairs.score_pairs(found).collect()}
+        assert (got["1"].score, got["1"].match_class, got["1"].deterministic_match) == (1.0, "MATCH", True)
+        assert got["2"].name_score == pytest.approx(1 - 2 / 12)
+        assert (got["2"].match_class, got["2"].deterministic_match) == ("MATCH", False)
+        assert (got["9"].score, got["9"].match_class) == (0.0, "NO_MATCH")
+
+
+# --- reports ----------------------------------------------------------------------------------
+
+
+def test_eligibility_report_is_ordered(spark):
+    df = spark.createDataFrame(
+        [("erp", "2"), ("crm", "9"), ("crm", "1"), ("crm", None), ("crm", "1")],
+        "source_system string, source_record_id string",
+    )
+    got = [tuple(r) for r in reports.eligibility_report(df).collect()]
+    assert got == [("crm", None), ("crm", "1"), ("crm", "1"), ("crm", "9"), ("erp", "2")]
