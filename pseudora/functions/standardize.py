@@ -104,7 +104,8 @@ def match_name(value: Column) -> Column:
     source, target, longer = _ascii_forms()
     text = value.cast("string")
     plain = F.translate(text, source, target)
-    expansions = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    entries = ",".join(f"{char}={kept}" for char, kept in longer.items())
+    expansions = F.str_to_map(F.lit(entries), F.lit(","), F.lit("="))
     cut = F.regexp_replace(text, "([" + "".join(longer) + "])", f"{_EXPANDS}$1{_EXPANDS}")
     pieces = F.transform(
         F.split(cut, _EXPANDS), lambda piece: F.coalesce(expansions[piece], piece)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pseudora.functions.hashing import (
     build_pseudo_id_column,
@@ -51,13 +52,18 @@ from workloads.adapter import (
 class Inputs:
     """The test tables of one scale factor and the source-shaped views over them."""
 
+    schemas: dict[str, StructType] = {}  # by path, so that footers are read once
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         # Oracle results are in UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in self.schemas:
+            self.schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self.schemas[path]).parquet(path)
 
     def view(self, name: str) -> DataFrame:
         sql = VIEWS[name]
