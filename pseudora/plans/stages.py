@@ -153,7 +153,12 @@ def run_standardization(
     return run.write(crm.unionByName(erp), "silver", "customer_identity_candidates")
 
 
-def run_compliance_controls(spark: SparkSession, run: Run) -> DataFrame:
+def run_compliance_controls(
+    spark: SparkSession, run: Run | None = None, *, catalog: str = "spark_catalog"
+) -> DataFrame:
+    """Stage 05; without a run, over the usual schemas of a catalog at the present time."""
+    run = run or Run(layout=Layout(catalog=catalog))
+
     def raw(name: str) -> DataFrame:
         return spark.table(run.layout.table("bronze", f"{name}_raw"))
 

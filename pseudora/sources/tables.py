@@ -22,6 +22,12 @@ def write_table(df: DataFrame, target_table: str, *, table_format: str = "parque
     return df.sparkSession.table(target_table)
 
 
+def schema_inventory(spark: SparkSession, catalog: str) -> DataFrame:
+    """Make a catalog the current one and list its schemas."""
+    spark.catalog.setCurrentCatalog(catalog)
+    return spark.sql("SHOW SCHEMAS")
+
+
 def table_inventory(spark: SparkSession, schema: str) -> DataFrame:
     """Tables of one schema as (namespace, table_name)."""
     listed = spark.sql(f"SHOW TABLES IN {schema}")

@@ -167,6 +167,11 @@ def test_inventory_lists_the_tables(spark, run):
     }
 
 
+def test_inventory_lists_the_schemas(spark, run):
+    listed = {r.namespace for r in tables.schema_inventory(spark, "spark_catalog").collect()}
+    assert {"t_bronze", "t_meta", "t_silver", "t_comp"} <= listed
+
+
 def test_salt_is_needed(spark, run):
     with pytest.raises(ValueError, match="salt"):
         stages.run_standardization(spark, run, salt=None)

@@ -466,6 +466,7 @@ FINAL = {
     "mapping_candidates": "SELECT * FROM candidates",
     "mapping_decisions": "SELECT * FROM decisions",
     "semantic_mapping_stage": decisions_sql("source_candidates"),
+    "concept_dump": "SELECT * FROM concepts",
     "decision_report": """SELECT source_system, table_name, column_name, concept_id, concept_name,
     canonical_field_name, pii_category, mapping_score, mapping_reason, decision FROM decisions
     ORDER BY 1, 2, 3""",

@@ -466,6 +466,12 @@ def semantic_mapping_stage(i: Inputs) -> DataFrame:
     )
 
 
+def concept_dump(i: Inputs) -> DataFrame:
+    run = i.run()
+    run.write(i.view("concepts"), "bronze", "semantic_concepts_raw")
+    return i.spark.table(run.layout.table("bronze", "semantic_concepts_raw"))
+
+
 def decision_report(i: Inputs) -> DataFrame:
     return reports.decision_report(mapping.build_mapping_decisions(i.candidates()))
 
@@ -680,6 +686,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "mapping_candidates": mapping_candidates,
     "mapping_decisions": mapping_decisions,
     "semantic_mapping_stage": semantic_mapping_stage,
+    "concept_dump": concept_dump,
     "decision_report": decision_report,
     "standardize_customers": Inputs.crm_identity,
     "identity_candidates": Inputs.identities,
