@@ -5,11 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pseudora.llm import mixing
+from pseudora.llm import (
+    chatformat,
+    decontamination,
+    mixing,
+    ngramjoin,
+    pii,
+    quality,
+    secrets,
+    topk,
+    toxicity,
+    urlfilter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
+#: The other queries hash, fit or choose by a seed, which tests compare with brute force.
+ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": ngramjoin.ORACLE_SQL,
+    "op2_secret_scan": secrets.ORACLE_SQL,
+    "op6_decontaminate": decontamination.ORACLE_SQL,
+    "op8_exact_top_k": topk.ORACLE_SQL,
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +40,58 @@ def query(function):
     return function
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chatformat.format_chat(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op4_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
