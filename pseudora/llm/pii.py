@@ -39,7 +39,8 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_CANDIDATE = re.compile(r"[A-Za-z0-9]*[0-9][A-Za-z0-9-]*")
+_RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-")
+_FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9-]*")
 _DIGIT = re.compile(r"[0-9]")
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -103,9 +104,12 @@ def _before(text: str, start: int) -> str:
 
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Tokens with many digits that no base span touches."""
-    found = []
-    for match in _CANDIDATE.finditer(text):
+    found, done = [], 0
+    for match in _FROM_DIGIT.finditer(text):
         a, b = match.span()
+        while a > done and text[a - 1] in _RUN:
+            a -= 1
+        done = b
         if b - a >= CANDIDATE_DIGITS and len(_DIGIT.findall(match.group())) >= CANDIDATE_DIGITS:
             if all(b <= start or a >= end for _, start, end in taken):
                 found.append((a, b))
