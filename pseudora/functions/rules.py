@@ -41,9 +41,34 @@ def older_than(day: Column, retention_days: Column, as_of: date | None) -> Colum
     return F.datediff(as_of_column(as_of), day) > limit
 
 
+_CLOCK = "(?:[01][0-9]|2[0-3])"
+_SIXTY = "[0-5][0-9]"
+_ZONE = f"(?:Z|[+-]{_CLOCK}(?::?{_SIXTY}(?::?{_SIXTY}(?:[.][0-9]+)?)?)?)?"
+_TIME = "|".join(f"{_CLOCK}(?:{colon}{_SIXTY}(?:{colon}{_SIXTY}(?:[.,][0-9]+)?)?)?" for colon in (":", ""))
+_ISO_DAY = f"([0-9]{{4}})(-?)([0-9]{{2}})\\2([0-9]{{2}})(?:.(?:{_TIME}){_ZONE})?"
+_ISO_WEEK = f"([0-9]{{4}})(-?)W([0-9]{{2}})(?:\\2([1-7]))?(?:.(?:{_TIME}){_ZONE})?"
+
+
 def event_day(text: Column) -> Column:
-    """Calendar day written in an ISO date or timestamp text; NULL if it is not one."""
-    return F.when(text.try_cast("timestamp").isNotNull(), F.substring(text, 1, 10).try_cast("date"))
+    """Calendar day written in an ISO date or timestamp text; NULL if it is not one.
+
+    Blanks around the text are trimmed. Extended and basic forms count, days of ISO weeks too; the
+    day is the one written, whatever the zone. A form must cover the whole text.
+    """
+    trimmed = F.trim(text)
+
+    def part(form: str, group: int) -> Column:
+        return F.regexp_extract(trimmed, f"^(?:{form})$", group)
+
+    day = F.concat_ws("-", part(_ISO_DAY, 1), part(_ISO_DAY, 3), part(_ISO_DAY, 4)).try_cast("date")
+    week = part(_ISO_WEEK, 3).try_cast("int")
+    fourth = F.concat(part(_ISO_WEEK, 1), F.lit("-01-04")).try_cast("date")
+    weekday = F.coalesce(part(_ISO_WEEK, 4).try_cast("int"), F.lit(1))
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    of_week = F.date_add(monday, (week - 1) * 7 + weekday - 1)
+    # Week 53 of a year without one would be a day of the next year's first week.
+    same_year = F.year(F.date_add(of_week, 4 - weekday)) == F.year(fourth)
+    return F.coalesce(day, F.when(same_year & (week > 0), of_week))
 
 
 def match_identifier_present(*identifiers: Column) -> Column:

@@ -41,7 +41,7 @@ def normalize_phone_column(value: Column, default_country_code: str = "48") -> C
     subscriber = (
         F.when(text.startswith("+"), digits)
         .when(F.length(digits) == 9, F.concat(F.lit(default_country_code), digits))
-        .when(digits.startswith("00"), F.substring(digits, 3, 100))
+        .when(digits.startswith("00"), F.substr(digits, F.lit(3)))
         .otherwise(digits)
     )
     return F.when(digits != "", F.concat(F.lit("+"), subscriber))

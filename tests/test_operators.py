@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 from datetime import date, datetime
 
@@ -422,9 +423,9 @@ def people(spark, values):
     ).withColumns(
         {
             "standard_name": F.concat(F.lit("name "), "source_record_id"),
-            "date_of_birth": F.lit("1990-01-01"),
-            "postal_code": F.lit("00-001"),
-            "address_text": F.lit("prosta 1"),
+            "date_of_birth": F.lit("1970-12-30"),
+            "postal_code": F.lit("779-00"),
+            "address_text": F.lit("u mostu 4"),
         }
     )
 
@@ -433,7 +434,7 @@ def people(spark, values):
 def test_linked_pairs_connect_every_group_without_all_pairs(spark, rows_per_task):
     values = [("crm", f"{i:03}", "hot" if i % 3 == 0 else f"e{i // 4}", f"p{i % 50}" if i % 2 else None, i % 10 != 5) for i in range(150)]
     values += values[:10]  # copies
-    df = pairs.block_pairs(people(spark, values), rows_per_task=rows_per_task)
+    df = pairs.link_identifiers(people(spark, values), rows_per_task=rows_per_task)
     got = [(r.left_source_record_id, r.right_source_record_id) for r in df.collect()]
     assert len(got) == len(set(got)) <= 2 * 150
     assert all(a < b for a, b in got)
@@ -489,3 +490,101 @@ def test_eligibility_report_is_ordered(spark):
     )
     got = [tuple(r) for r in reports.eligibility_report(df).collect()]
     assert got == [("crm", None), ("crm", "1"), ("crm", "1"), ("crm", "9"), ("erp", "2")]
+
+
+def identical_bits(a, b):
+    """Length of the longest common subsequence, by the table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(above[j] + 1 if x == y else max(row[-1], above[j + 1]))
+    return row[-1]
+
+
+def text_score(a, b):
+    a, b = (" ".join(sorted((x or "").split())) for x in (a, b))
+    return 2 * identical_bits(a, b) / (len(a) + len(b)) if a and b else 0.0
+
+
+def person_score(a, b):
+    def same(x, y):
+        return float(bool(x) and x == y)
+
+    return round(
+        0.45 * text_score(a[2].upper() if a[2] else a[2], b[2].upper() if b[2] else b[2])
+        + 0.25 * same(a[3], b[3])
+        + 0.15 * same(a[4], b[4])
+        + 0.15 * text_score(a[5], b[5]),
+        4,
+    )
+
+
+def some_people():
+    """Few names, birth dates and places in many combinations, with slips and gaps."""
+    chance = random.Random(7)
+    names = ["otto vrba", "vrba otto", "oto vrba", "eva mala", "ewa mala", "jiri stastny", "j stastny", None]
+    born = ["1964-05-30"] * 3 + ["1958-12-24", None]
+    codes = ["77900", "60200", None]
+    places = ["u mostu 4", "mostu 4", "nad vodou 8", None]
+    people = []
+    for k in range(90):
+        mail = chance.choice(["hot", "hot", f"m{k // 3}", None])
+        people.append(
+            ("crm" if k % 2 else "erp", f"{k:03}", chance.choice(names), chance.choice(born), chance.choice(codes),
+             chance.choice(places), mail, chance.choice([None, f"p{k // 5}"]), k % 11 != 0)
+        )
+    return people
+
+
+@pytest.mark.parametrize(("threshold", "rows_per_task"), [(0.75, 4), (0.75, 10**6), (0.92, 10**6), (0.65, 10**6)])
+def test_no_pair_that_reaches_the_threshold_is_left_out(spark, threshold, rows_per_task):
+    people = some_people()
+    fields = (
+        "source_system string, source_record_id string, standard_name string, date_of_birth string, postal_code string, "
+        "address_text string, email_hash string, phone_hash string, can_process_for_entity_resolution boolean"
+    )
+    df = spark.createDataFrame(people + people[:7], fields)
+    found = pairs.block_pairs(df, threshold=threshold, rows_per_task=rows_per_task)
+    rows = [
+        ((r.left_source_system, r.left_source_record_id), (r.right_source_system, r.right_source_record_id))
+        for r in found.collect()
+    ]
+    assert len(rows) == len(set(rows)) and all(a < b for a, b in rows)
+
+    allowed = sorted(p for p in people if p[8])
+
+    def features(p):
+        return (" ".join(sorted(p[2].split())) if p[2] else None, p[3], p[4], " ".join(sorted(p[5].split())) if p[5] else None)
+
+    first = {}
+    for p in allowed:
+        first.setdefault(features(p), p)
+    want = set()
+    for p in allowed:
+        rep = first[features(p)]
+        if rep != p and person_score(rep, p) >= threshold:
+            want.add((rep[:2], p[:2]))
+    reps = sorted(first.values())
+    want |= {(a[:2], b[:2]) for k, b in enumerate(reps) for a in reps[:k] if person_score(a, b) >= threshold}
+    for key in (6, 7):
+        holders = {}
+        for p in allowed:
+            if p[key] is not None:
+                holders.setdefault((p[key], features(p)), p)
+        listed = sorted(holders.values())
+        want |= {
+            (a[:2], b[:2])
+            for k, b in enumerate(listed)
+            for a in listed[:k]
+            if a[key] == b[key] and features(a) != features(b)
+            and ((a[3] and a[3] == b[3]) or (features(a)[0] and features(a)[0] == features(b)[0]))
+        }
+    assert set(rows) == want
+
+
+def test_a_threshold_that_blocks_nothing_is_refused():
+    with pytest.raises(ValueError, match="nothing need agree"):
+        pairs.blocks_for(0.3)
+    assert [b.exact for b in pairs.blocks_for(0.75)] == [("born", "code"), ("born",), ("code",)]

@@ -1,7 +1,8 @@
 """Source-shaped views over the test tables, in SQL that Spark and DuckDB both understand.
 
-Every view scans its whole table, so all queries built on them grow with the data. A third of the
-customers share one mailbox, some ids are blank, some dates are malformed.
+Every view keeps all rows of its table, so all queries built on them grow with the data. A third of
+the customers share one mailbox, some ids are blank or known to one side only, some dates are
+malformed, padded or written without hyphens.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ _BIRTH = (
 )
 _EVENT = """CASE WHEN c_custkey % 37 = 0 THEN 'not-a-date'
     WHEN c_custkey % 31 = 0 THEN NULL
+    WHEN c_custkey % 41 = 0 THEN '20190704'
+    WHEN c_custkey % 43 = 0 THEN '  2019-12-31T05:00:00Z '
+    WHEN c_custkey % 47 = 0 THEN '2016'
     WHEN c_custkey % 5 = 0 THEN '2018-03-01T08:00:00Z'
     WHEN c_custkey % 5 = 1 THEN '2020-01-03'
     ELSE '2024-11-30T23:30:00Z' END"""
@@ -37,17 +41,17 @@ _ARRIVED = """CASE WHEN c_custkey % 17 = 0 THEN '2015-01-01T00:00:00Z'
 VIEWS = {
     "crm": f"""
 SELECT CASE WHEN c_custkey % 29 = 0 THEN '  ' ELSE CONCAT('CRM-', {_KEY}) END AS crm_customer_id,
-  CONCAT('  Ann', CAST(c_custkey % 97 AS STRING)) AS first_name,
-  CASE c_custkey % 7 WHEN 0 THEN CONCAT('Zieliński  ', {_KEY})
-    WHEN 1 THEN CONCAT('Łęcka-', {_KEY}) ELSE CONCAT('Kowal  ', {_KEY}) END AS last_name,
+  CONCAT('  Odo', CAST(c_custkey % 97 AS STRING)) AS first_name,
+  CASE c_custkey % 7 WHEN 0 THEN CONCAT('Krämer  ', {_KEY})
+    WHEN 1 THEN CONCAT('Łoś-', {_KEY}) ELSE CONCAT('Vrba  ', {_KEY}) END AS last_name,
   CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '  '
     WHEN c_custkey % 3 = 2 THEN ' Office@Example.COM'
     ELSE CONCAT(' User', {_KEY}, '@Example.COM ') END AS email,
-  CASE c_custkey % 5 WHEN 0 THEN CONCAT('+48 501 ', {_SERIAL})
-    WHEN 1 THEN CONCAT('501', {_SERIAL}) WHEN 2 THEN CONCAT('0048 501', {_SERIAL})
+  CASE c_custkey % 5 WHEN 0 THEN CONCAT('+48 733 ', {_SERIAL})
+    WHEN 1 THEN CONCAT('733', {_SERIAL}) WHEN 2 THEN CONCAT('0048 733', {_SERIAL}, REPEAT('7', c_custkey % 3 * 60))
     WHEN 3 THEN 'n/a' ELSE NULL END AS phone,
   {_BIRTH} AS date_of_birth,
-  CONCAT('ul. Prosta ', CAST(c_custkey % 40 AS STRING)) AS street,
+  CONCAT('Lipová tř. ', CAST(c_custkey % 40 AS STRING)) AS street,
   CONCAT(LPAD(CAST(c_nationkey AS STRING), 2, '0'), '-',
     LPAD(CAST(c_custkey % 1000 AS STRING), 3, '0')) AS postal_code,
   'PL' AS country,
@@ -55,33 +59,36 @@ SELECT CASE WHEN c_custkey % 29 = 0 THEN '  ' ELSE CONCAT('CRM-', {_KEY}) END AS
   {_EVENT} AS updated_at
 FROM customer""",
     "erp": f"""
-SELECT CONCAT('ERP-', {_KEY}) AS erp_client_id,
-  CONCAT('ANN', CAST(c_custkey % 97 AS STRING), ' KOWAL ', {_KEY}) AS client_name,
+SELECT CONCAT(CASE c_custkey % 2 WHEN 0 THEN 'ERP-' ELSE 'ERP-X' END, {_KEY}) AS erp_client_id,
+  CONCAT('ODO', CAST(c_custkey % 97 AS STRING), ' VRBA ', {_KEY}) AS client_name,
   CASE WHEN c_custkey % 3 = 2 THEN 'OFFICE@EXAMPLE.COM'
     ELSE CONCAT('USER', {_KEY}, '@EXAMPLE.COM') END AS email_address,
-  CONCAT('+48501', {_SERIAL}) AS mobile_number,
+  CONCAT('+48733', {_SERIAL}) AS mobile_number,
   {_BIRTH} AS birth_date,
-  CONCAT('Prosta ', CAST(c_custkey % 40 AS STRING)) AS street_address,
+  CONCAT('Lipová ', CAST(c_custkey % 40 AS STRING)) AS street_address,
   CONCAT(LPAD(CAST(c_nationkey AS STRING), 2, '0'),
     LPAD(CAST(c_custkey % 1000 AS STRING), 3, '0')) AS zip_code,
   'PL' AS country_code,
   {_ARRIVED} AS registered_at,
   {_EVENT} AS last_invoice_at
-FROM customer WHERE c_custkey % 2 = 0""",
+FROM customer""",
     "consents_raw": f"""
-SELECT 'CRM' AS source_system, CONCAT('CRM-', {_KEY}) AS source_customer_id,
+SELECT 'CRM' AS source_system,
+  CONCAT(CASE WHEN c_custkey % 23 = 0 THEN 'CRM-unknown-' ELSE 'CRM-' END, {_KEY})
+    AS source_customer_id,
   CASE c_custkey % 6 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN ' YES ' WHEN 3 THEN 'no'
     WHEN 4 THEN 'maybe' ELSE NULL END AS analytics_consent,
   CASE c_custkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'false' ELSE 'true' END AS marketing_consent,
   CASE WHEN c_custkey % 19 = 0 THEN 'not-a-date' ELSE '2024-12-01T10:00:00Z' END
     AS consent_updated_at
-FROM customer WHERE c_custkey % 23 <> 0
+FROM customer
 UNION ALL
-SELECT ' erp ' AS source_system, CONCAT('ERP-', {_KEY}) AS source_customer_id,
+SELECT ' erp ' AS source_system,
+  CONCAT(CASE c_custkey % 2 WHEN 0 THEN 'ERP-' ELSE 'ERP-Y' END, {_KEY}) AS source_customer_id,
   CASE WHEN c_custkey % 10 = 0 THEN 'N' ELSE 'true' END AS analytics_consent,
   CASE WHEN c_custkey % 8 = 0 THEN '0' ELSE 'yes' END AS marketing_consent,
   '2024-12-02T10:00:00Z' AS consent_updated_at
-FROM customer WHERE c_custkey % 2 = 0""",
+FROM customer""",
     "consents_repeated": """
 SELECT CASE WHEN event_id % 8 = 0 THEN 'erp' ELSE 'CRM' END AS source_system,
   CONCAT(CASE WHEN event_id % 8 = 0 THEN 'ERP-' ELSE 'CRM-' END, CAST(user_id AS STRING))
@@ -111,13 +118,15 @@ FROM supplier""",
     "concepts": """
 SELECT concept_id, concept_name, canonical_field_name, pii_category, description
 FROM (VALUES
-  ('C001', 'email', 'email', 'CONTACT_IDENTIFIER', 'mail address'),
-  ('C002', 'phone', 'phone', 'CONTACT_IDENTIFIER', 'phone number'),
-  ('C003', 'full name', 'full_name', 'DIRECT_IDENTIFIER', 'name of a person'),
-  ('C004', 'date of birth', 'date_of_birth', 'SENSITIVE_IDENTIFIER', 'day of birth'),
-  ('C005', 'postal code', 'postal_code', 'QUASI_IDENTIFIER', 'code of a place'),
-  ('C006', 'address', 'address', 'QUASI_IDENTIFIER', 'street and house'),
-  ('C007', 'created timestamp', 'created_at', 'NONE', 'time of creation')
+  ('act', 'last invoice at', 'invoice_day', 'ACTIVITY', 'latest bill'),
+  ('bir', 'birth date', 'date_of_birth', 'PERSON', 'when somebody was born'),
+  ('cou', 'country', 'nation', 'PLACE', 'state of residence'),
+  ('mai', 'email', 'email', 'REACH', 'electronic mailbox'),
+  ('nam', 'client', 'full_name', 'PERSON', 'what somebody is called'),
+  ('reg', 'created at', 'registered_at', 'ACTIVITY', 'first seen'),
+  ('str', 'street address', 'address', 'PLACE', 'road and door'),
+  ('tel', 'mobile', 'phone', 'REACH', 'number to call'),
+  ('zip', 'zip', 'postal_code', 'PLACE', 'delivery area')
 ) AS base (concept_id, concept_name, canonical_field_name, pii_category, description)
 UNION ALL
 SELECT DISTINCT CONCAT(CASE WHEN p_size > 25 THEN 'Q-' ELSE 'P-' END, REPLACE(p_name, ' ', '-'))
@@ -143,14 +152,17 @@ SELECT LOWER(p_brand) AS source_system, LOWER(p_type) AS table_name,
 FROM part""",
     "labelled_pairs": f"""
 SELECT 'crm' AS left_source_system, CONCAT('CRM-', {_KEY}) AS left_source_record_id,
-  'erp' AS right_source_system, CONCAT('ERP-', {_KEY}) AS right_source_record_id,
+  'erp' AS right_source_system,
+  CONCAT(CASE c_custkey % 2 WHEN 0 THEN 'ERP-' ELSE 'ERP-X' END, {_KEY}) AS right_source_record_id,
   'MATCH' AS expected_decision
-FROM customer WHERE c_custkey % 2 = 0
+FROM customer
 UNION ALL
 SELECT 'crm' AS left_source_system, CONCAT('CRM-', {_KEY}) AS left_source_record_id,
-  'erp' AS right_source_system, 'ERP-2' AS right_source_record_id,
+  'erp' AS right_source_system,
+  CASE c_custkey % 3 WHEN 0 THEN 'ERP-2' ELSE CONCAT('ERP-gone-', {_KEY}) END
+    AS right_source_record_id,
   'NO_MATCH' AS expected_decision
-FROM customer WHERE c_custkey % 3 = 0 AND c_custkey <> 2""",
+FROM customer""",
 }
 
 

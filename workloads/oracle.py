@@ -27,7 +27,7 @@ def phone(x, country="48"):
     return f"""CASE WHEN LENGTH({digits}) = 0 THEN NULL
     WHEN TRIM({x}) LIKE '+%' THEN '+' || {digits}
     WHEN LENGTH({digits}) = 9 THEN '+{country}' || {digits}
-    WHEN {digits} LIKE '00%' THEN '+' || SUBSTRING({digits}, 3, 100)
+    WHEN {digits} LIKE '00%' THEN '+' || SUBSTRING({digits}, 3)
     ELSE '+' || {digits} END"""
 
 
@@ -39,6 +39,16 @@ def postal(x):
     return f"NULLIF(UPPER(REGEXP_REPLACE(TRIM({x}), '\\s+', '', 'g')), '')"
 
 
+def iso_day(x):
+    """Day of an ISO text in extended or basic form, with or without a time of day."""
+    clock = "([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?"
+    zone = "(Z|[+-]([01][0-9]|2[0-3])(:?[0-5][0-9])?)?"
+    day = f"LEFT(REPLACE(TRIM({x}), '-', ''), 8)"
+    form = f"([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})([T ]{clock}{zone})?"
+    return f"""CASE WHEN REGEXP_FULL_MATCH(TRIM({x}), '{form}') THEN
+    TRY_CAST(LEFT({day}, 4) || '-' || {day}[5:6] || '-' || {day}[7:8] AS DATE) END"""
+
+
 def collapsed(x):
     return f"NULLIF(TRIM(REGEXP_REPLACE({x}, '{SPACES}', ' ', 'g')), '')"
 
@@ -267,6 +277,26 @@ CARRIED = (
 ).split()
 
 
+APART = """(left_source_system <> right_source_system
+    OR left_source_record_id <> right_source_record_id)"""
+
+
+def packed(x):
+    return f"NULLIF(UPPER(REPLACE({collapsed(x)}, ' ', '')), '')"
+
+
+def both(left, right):
+    """The columns of two records side by side."""
+    return ", ".join(
+        f"{alias}.{c} AS {side}_{c}" for side, alias in (("left", left), ("right", right)) for c in CARRIED
+    )
+
+
+def before(left, right):
+    key = "({0}.source_system, {0}.source_record_id)"
+    return f"{key.format(left)} < {key.format(right)}"
+
+
 def links_sql(key):
     """Each record with the smallest record of its group; ties on the id break on the rest."""
     order = ", ".join(f"{c} NULLS FIRST" for c in CARRIED)
@@ -365,8 +395,29 @@ RELATIONS |= {
     "source_flags": candidates_sql("source_profile"),
     "source_candidates": scored_sql("source_flags"),
     "links": " UNION ".join(f"({links_sql(key)})" for key in ("email_hash", "phone_hash")),
-    "pairs": """SELECT * FROM links WHERE left_source_system <> right_source_system
-    OR left_source_record_id <> right_source_record_id""",
+    "identifier_pairs": f"SELECT * FROM links WHERE {APART}",
+    "people": f"""SELECT *, dense_rank() OVER (ORDER BY n, d, p, a) AS class FROM (
+    SELECT DISTINCT {", ".join(CARRIED)}, {tokens(name_key("standard_name"))} AS n,
+    {collapsed("date_of_birth")} AS d, {packed("postal_code")} AS p, {tokens("address_text")} AS a
+    FROM eligibility WHERE can_process_for_entity_resolution)""",
+    "firsts": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY class
+    ORDER BY {", ".join(f"{c} NULLS FIRST" for c in CARRIED)}) AS place FROM people) WHERE place = 1""",
+    # Two records score .75 only with one birth date, or with all else alike: .45 + .15 + .15.
+    "may_reach": f"""SELECT DISTINCT {both("l", "r")} FROM firsts l JOIN firsts r
+      ON l.class <> r.class AND (l.d = r.d OR (l.n = r.n AND l.p = r.p AND l.a = r.a))
+      WHERE {before("l", "r")}
+    UNION SELECT {both("l", "r")} FROM firsts l JOIN people r USING (class)
+      WHERE {before("l", "r")}""",
+    "may_features": features_sql("may_reach"),
+    "may_scores": scores_sql("may_features"),
+    "pairs": f"""SELECT {", ".join(f"left_{c}" for c in CARRIED)},
+      {", ".join(f"right_{c}" for c in CARRIED)} FROM may_scores WHERE score >= 0.75::DOUBLE
+    """ + " ".join(f"""UNION SELECT {both("l", "r")} FROM holders_{key} l JOIN holders_{key} r
+      ON l.{key} = r.{key} AND l.class <> r.class AND (l.d = r.d OR l.n = r.n)
+      WHERE {before("l", "r")}""" for key in ("email_hash", "phone_hash")),
+    **{f"holders_{key}": f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key}, class
+    ORDER BY {", ".join(f"{c} NULLS FIRST" for c in CARRIED)}) AS place FROM people
+    WHERE {key} IS NOT NULL) WHERE place = 1""" for key in ("email_hash", "phone_hash")},
     "pair_features": features_sql("pairs"),
     "pair_scores": scores_sql("pair_features"),
     "given_pairs": "SELECT g.*, "
@@ -507,8 +558,8 @@ FINAL = {
     "retention_expired_ingest": "SELECT source_record_hash, retention_expired FROM eligibility",
     "retention_expired_event_date": f"""SELECT t.* EXCLUDE (event_text), p.date_column,
     COALESCE(p.retention_days, 3650) AS retention_days,
-    CAST(TRY_CAST(LEFT(event_text, 10) AS DATE) AS VARCHAR) AS event_date,
-    COALESCE(DATE_DIFF('day', TRY_CAST(LEFT(event_text, 10) AS DATE), DATE '{AS_OF}')
+    CAST({iso_day("event_text")} AS VARCHAR) AS event_date,
+    COALESCE(DATE_DIFF('day', {iso_day("event_text")}, DATE '{AS_OF}')
       > COALESCE(p.retention_days, 3650), FALSE) AS retention_expired
     FROM (SELECT 'crm' AS source_system, 'crm_customers' AS source_dataset_name, last_name AS owner,
         created_at, updated_at, NULL AS last_invoice_at, updated_at AS event_text FROM crm
@@ -526,6 +577,7 @@ FINAL = {
     "compliance_stage": "SELECT * FROM events_log",
     "eligibility_report": "SELECT * FROM eligibility ORDER BY source_system, source_record_id",
     "all_stages": "SELECT * EXCLUDE (_source_file) FROM eligibility_loaded",
+    "identifier_links": "SELECT * FROM identifier_pairs",
     "block_pairs": "SELECT * FROM pairs",
     "pair_text_similarity": f"SELECT {PAIR}, name_score, address_score FROM pair_features",
     "pair_exact_features": f"""SELECT {PAIR}, date_of_birth_score, postal_code_score

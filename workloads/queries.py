@@ -626,7 +626,11 @@ def all_stages(i: Inputs) -> DataFrame:
 # --- resolution -------------------------------------------------------------------------------
 
 
-def linked_pairs(i: Inputs) -> DataFrame:
+def identifier_links(i: Inputs) -> DataFrame:
+    return pairs.link_identifiers(i.stored(i.eligibility()))
+
+
+def block_pairs(i: Inputs) -> DataFrame:
     return pairs.block_pairs(i.stored(i.eligibility()))
 
 
@@ -639,13 +643,12 @@ PAIR_KEY = (
 
 
 def _scored(i: Inputs, *columns: str) -> DataFrame:
-    return pairs.score_pairs(linked_pairs(i)).select(*PAIR_KEY, *columns)
+    return pairs.score_pairs(block_pairs(i)).select(*PAIR_KEY, *columns)
 
 
 def labelled_pair_scores(i: Inputs) -> DataFrame:
     """Given pairs, a third of them with one and the same record, scored against their label."""
-    records = i.identities().where("source_record_id IS NOT NULL")
-    found = pairs.attach_pair_records(i.view("labelled_pairs"), records)
+    found = pairs.attach_pair_records(i.view("labelled_pairs"), i.identities())
     return pairs.score_pairs(found).select(
         *PAIR_KEY, "expected_decision", "score", "match_class", "deterministic_match"
     )
@@ -708,7 +711,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "compliance_stage": compliance_stage,
     "eligibility_report": eligibility_report,
     "all_stages": all_stages,
-    "block_pairs": linked_pairs,
+    "identifier_links": identifier_links,
+    "block_pairs": block_pairs,
     "pair_text_similarity": lambda i: _scored(i, "name_score", "address_score"),
     "pair_exact_features": lambda i: _scored(i, "date_of_birth_score", "postal_code_score"),
     "pair_weighted_score": lambda i: _scored(i, "score"),
