@@ -34,18 +34,19 @@ def normalize_identifier(value: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(value.cast("string")), r"\P{Alnum}+", "_"))
 
 
-def all_substrings(value: Column) -> Column:
-    """Array of the distinct substrings of a short text, the empty one included."""
-    size = F.length(value)
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), size - start + 1),
-                lambda width: F.substr(value, start, width),
-            ),
-        )
-    )
-    return F.when(size > 0, F.array_append(F.array_distinct(pieces), F.lit(""))).otherwise(
-        F.array(F.lit(""))
-    )
+def _cut(value: Column, width: int):
+    return lambda at: F.substr(value, at, F.lit(width))
+
+
+def grams_upto(value: Column, size: int) -> Column:
+    """Array of the distinct substrings of at most ``size`` characters, the empty one included.
+
+    Its length is at most ``size`` times that of the text, however long that is.
+    """
+    length = F.length(value)
+    grams = [F.array(F.lit(""))]
+    for width in range(1, size + 1):
+        starts = F.when(length >= width, F.sequence(F.lit(1), length - width + 1))
+        pieces = F.transform(starts, _cut(value, width))
+        grams.append(F.coalesce(pieces, F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*grams))

@@ -1,8 +1,8 @@
 """Scoring of profiled columns against a dictionary of business concepts.
 
 Every score that is kept needs at least one name to contain the other. So instead of comparing all
-columns with all concepts, the distinct names on both sides are cut into their substrings and met
-in an equi-join; only names that contain one another are ever brought together.
+columns with all concepts, the distinct names on one side meet short anchors of those on the other in
+an equi-join; only names that contain one another leave it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pseudora.functions.naming import all_substrings, normalize_identifier
+from pseudora.functions.naming import grams_upto, normalize_identifier
 from pseudora.operators.bronze import timestamp_column
 from pseudora.plans.skew import spread_left_join
 
@@ -32,6 +32,8 @@ REVIEW_SCORE = 0.50
 # Inferred types that stand for a canonical field of another name.
 TYPE_SYNONYMS = (("name", "full_name"), ("date", "date_of_birth"))
 
+ANCHOR = 4
+
 PROFILE_COLUMNS = (
     "source_system",
     "table_name",
@@ -52,16 +54,22 @@ CONCEPT_COLUMNS = (
 GROUP_KEY = ("source_system", "table_name", "column_name")
 
 
+def _contained(long: DataFrame, short: DataFrame) -> DataFrame:
+    """(name, term) where the text of ``long`` contains that of ``short``.
+
+    A contained text is anchored by its first ``ANCHOR`` characters, met by the grams of the other
+    side and verified, so the rows of a text grow in proportion to its length.
+    """
+    outer, inner = long.columns[0], short.columns[0]
+    grams = long.select(outer, F.explode(grams_upto(F.col(outer), ANCHOR)).alias("gram"))
+    anchors = short.select(inner, F.substring(inner, 1, ANCHOR).alias("gram"))
+    met = grams.join(anchors, "gram").where(F.col(outer).contains(F.col(inner)))
+    return met.select("name", "term")
+
+
 def containing_pairs(names: DataFrame, terms: DataFrame) -> DataFrame:
     """Distinct (name, term) where either contains the other; inputs are distinct and non-NULL."""
-    in_name = names.select("name", F.explode(all_substrings(F.col("name"))).alias("term"))
-    in_term = terms.select("term", F.explode(all_substrings(F.col("term"))).alias("name"))
-    return (
-        in_name.join(terms, "term")
-        .select("name", "term")
-        .union(in_term.join(names, "name").select("name", "term"))
-        .distinct()
-    )
+    return _contained(names, terms).union(_contained(terms, names)).distinct()
 
 
 def _contains(a: Column, b: Column) -> Column:

@@ -12,8 +12,24 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+    VariantType,
+)
 
 from pseudora.functions.hashing import quoted
 from pseudora.functions.naming import infer_simple_type
@@ -22,6 +38,7 @@ from pseudora.sources.tables import write_table
 
 SAMPLE_SIZE = 5
 SAMPLE_SEPARATOR = " | "
+_ZERO = "0.0"
 
 
 @dataclass(frozen=True)
@@ -31,12 +48,39 @@ class SourceTableSpec:
     full_table_name: str
 
 
+def _exact_text(name: str, kind: DataType) -> Column:
+    """A text per value: equal for equal values only, whatever their printed form.
+
+    Printed instants hide the offset of repeated hours, printed arrays and maps the bounds of their
+    parts, and zeros of either sign are equal.
+    """
+    value = quoted(name)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, (ArrayType, StructType, MapType, VariantType)):
+        return F.to_json(F.struct(value.alias("v")))
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(value == 0, F.lit(_ZERO)).otherwise(value.cast("string"))
+    if isinstance(kind, BinaryType):
+        return F.hex(value)
+    return value.cast("string")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, value_count) over the text form of the columns, NULL included."""
-    texts = [quoted(name).cast("string").alias(f"c{i}") for i, name in enumerate(columns)]
-    places = [f"c{i}" for i in range(len(columns))]
-    long_form = df.select(*texts).unpivot([], places, "place", "value")
-    return long_form.groupBy("place", "value").agg(F.count(F.lit(1)).alias("value_count"))
+    """(place, value, exact, value_count): each distinct value of a column, NULL included.
+
+    ``value`` is the printed text, ``exact`` a text that differs for differing values, NULL where
+    the printed one does.
+    """
+    cells = []
+    for i, name in enumerate(columns):
+        kind = df.schema[name].dataType
+        text, exact = quoted(name).cast("string"), _exact_text(name, kind)
+        plain = isinstance(kind, (StringType, IntegralType, DecimalType, DateType, BooleanType))
+        same = F.lit(None).cast("string") if plain else exact
+        cells.append(F.struct(F.lit(f"c{i}").alias("place"), text.alias("value"), same.alias("exact")))
+    long_form = df.select(F.inline(F.array(*cells)))
+    return long_form.groupBy("place", "value", "exact").agg(F.count(F.lit(1)).alias("value_count"))
 
 
 def _column_list(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,15 +96,12 @@ def column_statistics(counts: DataFrame) -> DataFrame:
     size = F.length("value")
     weight = F.col("value_count")
     has_value = F.col("value").isNotNull()
-    # -0.0 equals 0.0 as a number but not as text
-    both_zeros = F.coalesce(F.max(F.col("value") == "-0.0"), F.lit(False)) & F.coalesce(
-        F.max(F.col("value") == "0.0"), F.lit(False)
-    )
+    # The zeros of either sign print differently, yet are one value.
+    zeros = F.count(F.when(F.col("exact") == _ZERO, 1))
     return counts.groupBy("place").agg(
         F.sum(weight).alias("row_count"),
         F.sum(F.when(has_value, F.lit(0)).otherwise(weight)).alias("null_count"),
-        F.count("value").alias("distinct_texts"),
-        both_zeros.alias("both_zeros"),
+        (F.count("value") - F.greatest(zeros - 1, F.lit(0))).alias("distinct_values"),
         F.min(size).alias("min_length"),
         F.max(size).alias("max_length"),
         F.try_divide(F.sum(size * weight), F.sum(F.when(has_value, weight))).alias("avg_length"),
@@ -78,10 +119,10 @@ def sample_values(counts: DataFrame) -> DataFrame:
     smallest = Window.partitionBy("place").orderBy(F.col("value").asc_nulls_last())
     return (
         counts.where(F.col("value_count") > 0)
-        .withColumn("rank", F.row_number().over(smallest))
+        .withColumn("rank", F.dense_rank().over(smallest))
         .where(F.col("rank") <= SAMPLE_SIZE)
         .groupBy("place")
-        .agg(F.array_sort(F.collect_list("value")).alias("samples"))
+        .agg(F.array_sort(F.collect_set("value")).alias("samples"))
         .select("place", F.array_join("samples", SAMPLE_SEPARATOR).alias("sample_values"))
     )
 
@@ -96,14 +137,11 @@ def profile_columns(
     run_ts: datetime | None = None,
 ) -> DataFrame:
     """One profile row per named column."""
-    floating = [n for n, kind in df.dtypes if kind in ("float", "double")]
     counts = value_counts(df, columns)
     # Both sides below have one row per column of the table.
     stats = column_statistics(counts).join(sample_values(counts), "place", "left")
     profile = _column_list(df, columns).join(stats, "place", "left")
-    distinct = F.col("distinct_texts") - F.when(
-        F.col("column_name").isin(floating) & F.col("both_zeros"), F.lit(1)
-    ).otherwise(F.lit(0))
+    distinct = F.col("distinct_values")
     return profile.select(
         F.lit(source_system).alias("source_system"),
         F.lit(table_name).alias("table_name"),

@@ -134,9 +134,11 @@ def test_names(evaluate):
     assert evaluate(naming.normalize_identifier, [" Full  Name ", "a--b", "%%", "ż", None]) == [
         "full_name", "a_b", "_", "_", None,
     ]
-    (pieces, empty) = evaluate(naming.all_substrings, ["aba", ""])
-    assert sorted(pieces) == ["", "a", "ab", "aba", "b", "ba"]
+    (pieces, empty) = evaluate(lambda v: naming.grams_upto(v, 2), ["abab", ""])
+    assert sorted(pieces) == ["", "a", "ab", "b", "ba"]
     assert empty == [""]
+    sizes = evaluate(lambda v: F.size(naming.grams_upto(v, 4)), ["".join(map(chr, range(97, 97 + n))) for n in (200, 2000)])
+    assert 9 < sizes[1] / sizes[0] < 11
 
 
 def test_booleans(evaluate):

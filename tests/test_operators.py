@@ -74,6 +74,24 @@ def test_profile_of_awkward_columns(spark):
     assert (xy.profiled_at, xy.batch_id) == (TS, "b")
 
 
+def test_distinct_values_not_texts(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+    try:
+        # 02:30 local time comes twice on that day.
+        df = spark.sql("""
+            SELECT timestamp_seconds(s) AS t, CAST(s AS STRING) AS s, d, f, a, b, m, n FROM VALUES
+              (1729989000, 0.0D, 0.0F, array('a, b'), X'00', map('k', 1), named_struct('x', 'a')),
+              (1729992600, -0.0D, -0.0F, array('a', 'b'), X'0000', map('k', 2), named_struct('x', 'b')),
+              (1729992600, 1.5D, 1.5F, array('a', 'b'), X'0000', map('k', 2), named_struct('x', 'b')),
+              (NULL, NULL, NULL, NULL, NULL, NULL, NULL) AS v (s, d, f, a, b, m, n)""")
+        got = {r.column_name: r.distinct_count for r in profile(df).collect()}
+        want = df.select(*[F.count_distinct(c).alias(c) for c in df.columns if c != "m"]).first().asDict()
+        assert got == {**want, "m": 2} == {c: 2 for c in df.columns}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_profile_of_an_empty_table(spark):
     got = profile(spark.createDataFrame([], "a string, b int")).collect()
     assert [r.column_name for r in sorted(got)] == ["a", "b"]

@@ -497,8 +497,15 @@ FINAL = {
     CAST(NULL AS VARCHAR) AS "none" FROM crm""",
     "profile_null_stats": f"""SELECT column_name, row_count, null_count, null_rate
     FROM ({profile_sql("crm_bronze", "test", "crm", CRM + LINEAGE)})""",
-    "profile_distinct_stats": f"""SELECT column_name, distinct_count, distinct_rate
-    FROM ({profile_sql("lineitem", "test", "lineitem", LINES)})""",
+    "profile_distinct_stats": " UNION ALL ".join(
+        f"""SELECT table_name, column_name, distinct_count, distinct_rate
+    FROM ({profile_sql(name, "test", name, columns)})"""
+        for name, columns in (
+            ("lineitem", LINES),
+            ("embeddings", ["vec_id", "embedding", "label"]),
+            ("events", ["event_id", "ts", "user_id", "event_type", "value", "props"]),
+        )
+    ),
     "profile_length_stats": f"""SELECT column_name, min_length, max_length, avg_length
     FROM ({profile_sql("documents", "test", "documents", DOCUMENTS)})""",
     "profile_sample_values": f"""SELECT column_name, sample_values

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -386,9 +387,13 @@ def profile_null_stats(i: Inputs) -> DataFrame:
 
 
 def profile_distinct_stats(i: Inputs) -> DataFrame:
-    return i.profile(i.table("lineitem"), "lineitem").select(
-        "column_name", "distinct_count", "distinct_rate"
-    )
+    found = [
+        i.profile(i.table(name), name).select(
+            "table_name", "column_name", "distinct_count", "distinct_rate"
+        )
+        for name in ("lineitem", "embeddings", "events")
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def profile_length_stats(i: Inputs) -> DataFrame:
