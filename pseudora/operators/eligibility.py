@@ -20,7 +20,7 @@ from pseudora.functions.rules import (
 from pseudora.functions.hashing import quoted
 from pseudora.operators.bronze import timestamp_column
 from pseudora.operators.controls import RECORD_KEY, active_deletions
-from pseudora.plans.skew import ROWS_PER_TASK, lookup_left_join, spread_left_join
+from pseudora.plans.skew import LOOKUP_MAX_ROWS, ROWS_PER_TASK, lookup_left_join, spread_left_join
 
 DATASET_KEY = ("source_system", "source_dataset_name")
 
@@ -80,18 +80,28 @@ def join_controls(
     retention_policy: DataFrame,
     *,
     rows_per_task: int = ROWS_PER_TASK,
+    max_policies: int = LOOKUP_MAX_ROWS,
 ) -> DataFrame:
-    """Identity with consent, blocking deletion and retention; one shuffle of the identities."""
+    """Identity with consent, blocking deletion and retention; one shuffle of the identities.
+
+    ``prepared`` comes from storage: the row number drawn there deals its rows in every join, so a
+    task that is run again deals them alike.
+    """
     flagged = spread_left_join(
-        prepared,
+        prepared.withColumn("_row", F.monotonically_increasing_id()),
         RECORD_KEY,
         many=consent_status.select(*CONSENT_COLUMNS),
         unique=[active_deletions(deletion_requests)],
+        left_spread_by=F.col("_row"),
         rows_per_task=rows_per_task,
     )
     return lookup_left_join(
-        flagged, retention_lookup(retention_policy), DATASET_KEY, rows_per_task=rows_per_task
-    )
+        flagged,
+        retention_lookup(retention_policy),
+        DATASET_KEY,
+        left_spread_by=F.col("_row"),
+        max_rows=max_policies,
+    ).drop("_row")
 
 
 def with_flags(joined: DataFrame, *, as_of: date | None = None) -> DataFrame:
@@ -219,7 +229,7 @@ def flag_retention_by_event_date(
     policy: DataFrame,
     *,
     as_of: date | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    max_policies: int = LOOKUP_MAX_ROWS,
 ) -> DataFrame:
     """Retention by the age of the date column that each data set's policy names.
 
@@ -227,7 +237,7 @@ def flag_retention_by_event_date(
     or malformed date, or a policy that names no column of the records, is never expired.
     """
     joined = lookup_left_join(
-        records, retention_lookup(policy), DATASET_KEY, rows_per_task=rows_per_task
+        records, retention_lookup(policy), DATASET_KEY, max_rows=max_policies
     )
     named = F.lower("date_column")
     text = F.coalesce(

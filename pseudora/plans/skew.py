@@ -139,15 +139,11 @@ def spread_left_join(
 def fits_broadcast(
     df: DataFrame, *, max_rows: int = LOOKUP_MAX_ROWS, max_chars: int = LOOKUP_MAX_CHARS
 ) -> bool:
-    """Measure a side before broadcasting it; reads at most ``max_rows`` + 1 rows of it."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("chars"),
-        )
-        .first()
-    )
+    """Measure a side before broadcasting it: one aggregate, one row per partition moves."""
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("chars"),
+    ).first()
     return size["rows"] <= max_rows and size["chars"] <= max_chars
 
 
@@ -156,14 +152,26 @@ def lookup_left_join(
     lookup: DataFrame,
     keys: Sequence[str],
     *,
+    left_spread_by: Column | None = None,
     max_rows: int = LOOKUP_MAX_ROWS,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join with a table that is normally tiny: broadcast if it measures small, else spread.
 
-    Lookups have few distinct keys, each shared by a large part of the left side, which is why
-    the other way is the spread join and not a plain shuffle.
+    Lookups have few distinct keys, each shared by a large part of the left side. So beyond the
+    limit every key is cut: left rows are dealt to as many cells as there are shuffle partitions,
+    and the lookup is copied to each. Nothing is counted, and the left side is read once.
+
+    Rows are dealt by ``left_spread_by``, an integer that a task run again computes alike; without
+    it by a hash of the row's content.
     """
+    keys = list(keys)
     if fits_broadcast(lookup, max_rows=max_rows):
-        return left.join(F.broadcast(lookup), list(keys), "left")
-    return spread_left_join(left, keys, many=lookup, rows_per_task=rows_per_task)
+        return left.join(F.broadcast(lookup), keys, "left")
+    columns = [*left.columns, *[name for name in lookup.columns if name not in keys]]
+    cells = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = F.xxhash64(*left.columns) if left_spread_by is None else F.xxhash64(left_spread_by)
+    dealt = left.withColumn(_LEFT_CELL, F.pmod(by, F.lit(cells)).cast("int"))
+    copied = lookup.where(keys_present(keys)).withColumn(
+        _LEFT_CELL, F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+    )
+    return dealt.join(copied, [*keys, _LEFT_CELL], "left").select(*columns)

@@ -11,15 +11,24 @@ from pyspark.sql import functions as F
 def write_table(df: DataFrame, target_table: str, *, table_format: str = "parquet") -> DataFrame:
     """Replace data and schema of a managed table and return it read back from storage.
 
-    Readers of the result depend on the stored table only, not on the plan that made it.
+    Plain files are written under another name first and take the table's name when they are
+    complete, so a write that fails leaves the old table; formats with a log replace it by
+    themselves. Readers of the result depend on the stored table only, not on the plan that made it.
     """
+    spark = df.sparkSession
+    logged = table_format not in ("parquet", "orc", "csv", "json")
+    written = target_table if logged else f"{target_table}__next"
     (
         df.write.format(table_format)
         .mode("overwrite")
         .option("overwriteSchema", "true")
-        .saveAsTable(target_table)
+        .saveAsTable(written)
     )
-    return df.sparkSession.table(target_table)
+    if not logged:
+        spark.sql(f"DROP TABLE IF EXISTS {target_table}")
+        in_schema = ".".join(target_table.split(".")[-2:])
+        spark.sql(f"ALTER TABLE {written} RENAME TO {in_schema}")
+    return spark.table(target_table)
 
 
 def schema_inventory(spark: SparkSession, catalog: str) -> DataFrame:

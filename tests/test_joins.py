@@ -92,7 +92,7 @@ def test_lookup_is_broadcast_only_when_it_measures_small(spark, sides):
     left, many, _ = sides
     policy = many.drop("j")
     small = skew.lookup_left_join(left, policy, ["k"])
-    large = skew.lookup_left_join(left, policy, ["k"], max_rows=10, rows_per_task=9)
+    large = skew.lookup_left_join(left, policy, ["k"], max_rows=10)
     assert rows(small) == rows(large.select(*small.columns))
     assert skew.fits_broadcast(policy, max_rows=300)
     assert not skew.fits_broadcast(policy, max_rows=299)
@@ -111,3 +111,13 @@ def test_identities_are_shuffled_once_for_all_controls(spark, sides):
     assert plan.count("SortMergeJoin") == 2
     cells = [line for line in plan.splitlines() if "hashpartitioning" in line and "_left_cell" in line]
     assert len(cells) == 3  # left, many, unique
+
+
+def test_large_lookups_read_the_left_side_once_and_deal_by_content(spark, sides, tmp_path):
+    left, many, _ = sides
+    left.write.parquet(str(tmp_path / "left"))
+    stored = spark.read.parquet(str(tmp_path / "left"))
+    df = skew.lookup_left_join(stored, many.drop("j"), ["k"], max_rows=1)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "monotonically_increasing_id" not in plan

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from pseudora.plans import stages
 from pseudora.sources import landing, tables
@@ -219,3 +220,13 @@ def test_shared_folder_is_the_one_the_cluster_names():
         tables.shared_folder(FakeSession("yarn", None))
     local = FakeSession("local[2]", None)
     assert tables.shared_folder(local) == tables.shared_folder(local)
+
+
+def test_a_failing_write_leaves_the_old_table(spark, run):
+    target = run.layout.table("bronze", "kept")
+    tables.write_table(spark.range(3).toDF("a"), target)
+    broken = spark.range(5).select(F.raise_error(F.lit("broken")).cast("string").alias("b"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(broken, target)
+    assert spark.table(target).columns == ["a"] and spark.table(target).count() == 3
+    assert tables.write_table(spark.range(2).toDF("c"), target).columns == ["c"]

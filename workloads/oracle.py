@@ -596,6 +596,10 @@ FINAL = {
 }
 
 
+FINAL["consent_join_cut_keys"] = FINAL["consent_left_join"]
+FINAL["retention_join_large_lookup"] = FINAL["retention_left_join"]
+
+
 def with_relations(sql: str) -> str:
     """Put the relations that a query uses, directly or not, in front of it."""
     needed: list[str] = []

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -55,10 +54,11 @@ class Inputs:
 
     schemas: dict[str, StructType] = {}  # by path, so that footers are read once
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, query: str):
         # Oracle results are in UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self.query, self.folders = query, 0
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
@@ -169,17 +169,19 @@ class Inputs:
     # stored intermediate results
 
     def folder(self) -> str:
-        return f"{tables.shared_folder(self.spark)}/{uuid.uuid4().hex}"
+        """The query's next folder; calling the query again uses the same ones."""
+        self.folders += 1
+        return f"{tables.shared_folder(self.spark)}/{self.query}-{self.folders}"
 
     def stored(self, df: DataFrame) -> DataFrame:
         """The DataFrame written to the shared folder and read back, as between stages."""
         path = self.folder()
-        df.write.parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     def run(self) -> stages.Run:
         """Stage parameters with schemas of their own in the shared folder."""
-        tag = uuid.uuid4().hex[:12]
+        tag = self.query
         layout = stages.Layout(
             bronze=f"bronze_{tag}",
             metadata=f"metadata_{tag}",
@@ -193,6 +195,7 @@ class Inputs:
         """Write a view as a headered landing CSV, outer spaces kept."""
         self.view(name).write.csv(
             f"{folder}/{file}.csv",
+            mode="overwrite",
             header=True,
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
@@ -502,12 +505,13 @@ def identifier_validity(i: Inputs) -> DataFrame:
     )
 
 
-def consent_left_join(i: Inputs) -> DataFrame:
+def consent_left_join(i: Inputs, rows_per_task: int = skew.ROWS_PER_TASK) -> DataFrame:
     """Identities with repeated consents: each repetition yields a row."""
     return skew.spread_left_join(
         i.prepared(),
         controls.RECORD_KEY,
         many=i.consents("consents_repeated").select(*eligibility.CONSENT_COLUMNS),
+        rows_per_task=rows_per_task,
     ).select(
         "source_system",
         "source_record_id",
@@ -532,9 +536,12 @@ def deletion_left_join(i: Inputs) -> DataFrame:
     )
 
 
-def retention_left_join(i: Inputs) -> DataFrame:
+def retention_left_join(i: Inputs, max_rows: int = skew.LOOKUP_MAX_ROWS) -> DataFrame:
     return skew.lookup_left_join(
-        i.prepared(), eligibility.retention_lookup(i.policy()), eligibility.DATASET_KEY
+        i.prepared(),
+        eligibility.retention_lookup(i.policy()),
+        eligibility.DATASET_KEY,
+        max_rows=max_rows,
     ).select(
         "source_system",
         "source_dataset_name",
@@ -705,6 +712,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "active_deletions": lambda i: controls.active_deletions(i.deletions()),
     "identifier_validity": identifier_validity,
     "consent_left_join": consent_left_join,
+    # Limits low enough that the ways for large keys and large lookups are taken at any scale.
+    "consent_join_cut_keys": lambda i: consent_left_join(i, rows_per_task=20),
+    "retention_join_large_lookup": lambda i: retention_left_join(i, max_rows=1),
     "deletion_left_join": deletion_left_join,
     "retention_left_join": retention_left_join,
     "retention_expired_ingest": retention_expired_ingest,
@@ -726,12 +736,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
-def _registered(build: Callable[[Inputs], DataFrame]):
+def _registered(name: str, build: Callable[[Inputs], DataFrame]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(Inputs(spark, sf_dir)))
+        return plain(build(Inputs(spark, sf_dir, name)))
 
     return query
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(build) for name, build in QUERIES.items()}
+    return {name: _registered(name, build) for name, build in QUERIES.items()}
