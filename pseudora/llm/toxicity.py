@@ -41,6 +41,7 @@ MOST_LANDMARKS, HARMLESS_LANDMARKS = 240, 60
 CANDIDATE_WORDS, HARMLESS_WORDS = 3000, 4000
 LOWEST = -1.0
 _REMEMBERED = 400_000
+_TOGETHER = 64  # texts whose words are rated at once
 _SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 _NOT_LETTER = re.compile(r"[\W_]+")
 
@@ -62,15 +63,8 @@ def _triples(length: int) -> tuple[np.ndarray, ...]:
     return _TRIPLES.setdefault(length, (i, j, k, DECAY ** (k - i - 2.0)))
 
 
-def _code(char: str) -> int:
-    at = ord(char)
-    if 97 <= at <= 122:
-        return at - 96
-    return 28 + at % 36  # other letters and digits share the rest of the alphabet
-
-
 def normal_word(token: str) -> str:
-    return _NOT_LETTER.sub("", token)
+    return token if token.isalnum() else _NOT_LETTER.sub("", token)
 
 
 def _pieces(word: str) -> list[str]:
@@ -81,9 +75,10 @@ def _pieces(word: str) -> list[str]:
 
 
 def _coded(words: list[str]) -> np.ndarray:
-    """Letter codes of words of one length, with end marks."""
-    inner = np.array([[_code(c) for c in word] for word in words], dtype=np.int64).reshape(len(words), -1)
-    return np.pad(inner, ((0, 0), (1, 1)), constant_values=27)
+    """Letter codes of words of one length, with end marks; other letters share a few codes."""
+    points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    codes = np.where((points >= 97) & (points <= 122), points - 96, 28 + points % 36)
+    return np.pad(codes.reshape(len(words), -1), ((0, 0), (1, 1)), constant_values=27)
 
 
 def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,11 +128,13 @@ class WordModel:
                 dots = self.table[keys] @ decay
                 # The norm is at least that of distinct features, which bounds the margin.
                 close = np.flatnonzero(dots / np.sqrt((decay**2).sum()) + self.shift > LOWEST)
-                for k in close:
-                    weights = np.bincount(np.unique(keys[k], return_inverse=True)[1], weights=decay)
-                    margin = dots[k] / np.sqrt((weights**2).sum()) + self.shift
-                    at = part[k][0]
-                    result[at] = max(result[at], margin)
+                # Equal features of a word add up before they are squared; all words at once.
+                place = np.arange(len(close))[:, None] * LETTERS**ORDER
+                found, where = np.unique(keys[close] + place, return_inverse=True)
+                sums = np.bincount(where.ravel(), weights=np.tile(decay, len(close)), minlength=len(found))
+                norms = np.bincount(found // LETTERS**ORDER, weights=sums**2, minlength=len(close))
+                rows = np.array([at for at, _ in part], dtype=np.int64)[close]
+                np.maximum.at(result, rows, dots[close] / np.sqrt(norms) + self.shift)
         return result
 
     def score(self, margin: Column) -> Column:
@@ -159,14 +156,15 @@ class _Worst:
 
     def __call__(self, texts: list[str | None]) -> list[float]:
         result = []
-        for text in texts:
-            tokens = tokens_of(text or "")
-            fresh = [t for t in tokens if t not in self.known]
+        for first in range(0, len(texts), _TOGETHER):
+            listed = [tokens_of(text or "") for text in texts[first : first + _TOGETHER]]
+            every = set().union(*listed)
+            fresh = list(every.difference(self.known))
             if len(self.known) + len(fresh) > _REMEMBERED:
-                self.known, fresh = {}, list(tokens)
-            margins = self.model.margins([normal_word(t) for t in fresh])
+                self.known, fresh = {}, list(every)
+            margins = self.model.margins([normal_word(token) for token in fresh])
             self.known.update(zip(fresh, margins.tolist(), strict=True))
-            result.append(max((self.known[t] for t in tokens), default=LOWEST))
+            result += [max((self.known[t] for t in tokens), default=LOWEST) for tokens in listed]
         return result
 
 
