@@ -1,7 +1,10 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
 One scan extracts, per document, the base spans, and candidates: tokens rich in digits that no base
-span touches. Each carries its lexical pattern, the two words before it. Seeds (base entities) induce
+span touches. Each carries its lexical pattern, the two whole tokens before it. Texts are cut into
+tokens by one rule, here and where patterns are counted: a word or number ends where a value may
+begin, marks such as ``:`` or ``(`` stay with the word they follow, so a label means the same glued to
+its value and apart from it. Seeds (base entities) induce
 patterns; Spark scores the pattern-instance graph over ``ROUNDS`` rounds: a pattern is as good as
 the confidence of its instances, measured against all its occurrences in the corpus; an instance is
 believed if it is met by good patterns; believed instances support further patterns. Candidates
@@ -19,6 +22,7 @@ copies of one instance count once for a pattern. Offsets count code points, ends
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -88,18 +92,29 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-_BLANK = re.compile(r"\s+")
+_TOKEN = re.compile(r"(?:[^\W\d_]+(?:[._'-][^\W\d_]+)*|\d+|[._%+-])[^\w\s.%+-]*|[^\w\s.%+-]+|\w")
+_NONZERO = re.compile(r"[1-9]")
 
 
-def _plain(word: str) -> str:
-    return _DIGIT.sub("0", word.lower())
+def flat(text: str) -> str:
+    """In lower case, digits made equal, every character at its place."""
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+    return _NONZERO.sub("0", lower)
 
 
-def _before(text: str, start: int) -> str:
-    """The two words before a position, digits made equal."""
-    first = max(0, start - 200)
-    words = text[first:start].split()
-    return " ".join(map(_plain, words[-2:]))
+def _tokens(text: str) -> tuple[list[str], list[int]]:
+    """The tokens of a text and where they end."""
+    found = [(m.group(), m.end()) for m in _TOKEN.finditer(flat(text))]
+    return [t for t, _ in found], [end for _, end in found]
+
+
+def _before(tokens: tuple[list[str], list[int]], start: int) -> str:
+    """The two whole tokens before a position, however long they are."""
+    words, ends = tokens
+    last = bisect_right(ends, start)
+    return " ".join(words[max(0, last - 2) : last])
 
 
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
@@ -125,7 +140,8 @@ def _extract(texts: pd.Series) -> pd.Series:
         text = text or ""
         base = base_spans(text)
         spans = base + [(4, a, b) for a, b in candidates(text, base)]
-        rows.append([(k, a, b, _before(text, a), text[a:b]) for k, a, b in spans])
+        tokens = _tokens(text) if spans else ([], [])
+        rows.append([(k, a, b, _before(tokens, a), text[a:b]) for k, a, b in spans])
     return pd.Series(rows)
 
 
@@ -136,14 +152,14 @@ def extracted(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(wanted):
-    """Count two-word runs of whole texts; only the wanted ones if they were broadcast."""
+    """Count runs of two tokens of whole texts; only the wanted ones if they were broadcast."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only = wanted.value if wanted is not None else None
         for batch in batches:
             counts: Counter[str] = Counter()
             for text in batch["text"]:
-                words = _DIGIT.sub("0", (text or "").lower()).split()
+                words = _TOKEN.findall(flat(text or ""))
                 runs = map(" ".join, zip(words, words[1:], strict=False))
                 counts.update(runs if only is None else filter(only.__contains__, runs))
             yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})

@@ -79,3 +79,34 @@ def test_pattern_totals_do_not_depend_on_the_way(spark, documents, prose):
     patterns = spark.createDataFrame([("reach at",), ("member id",), ("not there",)], "pattern string")
     counts = [dict(pii.pattern_totals(docs, patterns, most).collect()) for most in (0, 100)]
     assert counts[0] == counts[1] == {"reach at": 14, "member id": 6}
+
+
+def found_texts(rows, report):
+    texts, found = dict(rows), {}
+    for r in report.collect():
+        spans = [s.split(":") for s in r["spans"].split(",") if s.startswith("found")]
+        found[r["doc_id"]] = [texts[r["doc_id"]][int(a) : int(b)] for _, a, b in spans]
+    return found
+
+
+@pytest.mark.parametrize("label", ["mail=", "mail:", "reach (", 'id="', "reach <", "e-mail: ", "key #"])
+def test_labels_glued_to_the_value(documents, prose, label):
+    rows = [(k, f"{prose(9)} my {label}user{k}@mail.example.org {prose(9)}") for k in range(12)]
+    rows += [(100, f"{prose(9)} my {label}8812345 {prose(9)}"), (101, f"{prose(9)} part 7712345 {prose(9)}")]
+    found = found_texts(rows, pii.pii_report(documents(rows)))
+    assert found[100] == ["8812345"] and found[101] == []
+
+
+def test_very_long_words_before_a_value(documents, prose):
+    long = "w" * 300
+    rows = [(k, f"{prose(9)} {long} {long} user{k}@mail.example.org") for k in range(12)]
+    rows.append((100, f"{prose(9)} {long} {long} 8812345"))
+    assert found_texts(rows, pii.pii_report(documents(rows)))[100] == ["8812345"]
+
+
+def test_patterns_of_spans_are_counted_wherever_they_stand(spark, documents):
+    rows = [(0, "my ssn:a@b.de my ssn: c@d.de my ssn:000-00-0000 my ssn: none"), (1, "İİ my ssn:\ne@f.de"), (2, "éa@b.de x")]
+    spans = pii.extracted(documents(rows)).selectExpr("explode(spans) AS s").select("s.value", "s.pattern").collect()
+    assert {r["pattern"] for r in spans if r["value"] in ("a@b.de", "c@d.de", "e@f.de")} == {"my ssn:", ""}
+    counts = pii.pattern_totals(documents(rows), spark.createDataFrame([("my ssn:",)], "pattern string"))
+    assert counts.collect() == [("my ssn:", 5)]
