@@ -1,22 +1,29 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
 One scan extracts, per document, the base spans, and candidates: tokens rich in digits that no base
-span touches. Each carries its lexical pattern, the two whole tokens before it. Texts are cut into
+span touches, and groups with digits joined over blanks, dots, slashes and brackets. Each carries its
+lexical pattern, the two whole tokens before it. Texts are cut into
 tokens by one rule, here and where patterns are counted: a word or number ends where a value may
 begin, marks such as ``:`` or ``(`` stay with the word they follow, so a label means the same glued to
 its value and apart from it. Seeds (base entities) induce
 patterns; Spark scores the pattern-instance graph over ``ROUNDS`` rounds: a pattern is as good as
 the confidence of its instances, measured against all its occurrences in the corpus; an instance is
 believed if it is met by good patterns; believed instances support further patterns. Candidates
-that end above ``BELIEVED`` are added as spans of kind ``found``.
+that end above ``BELIEVED`` are added as spans of kind ``found``, wherever they stand.
 
-The scan stores spans only, so rounds work on a small table; the corpus is read once more to count
-the patterns, with the pattern set broadcast if it is small and joined otherwise. Counts are
+Whatever else follows a pattern that ends above ``BELIEVED``, a word, a few digits or a mail address
+written with (at) and (dot), is judged after the rounds: it is found there if at least that share of all
+its occurrences in the corpus follow such patterns, so common words and numbers are left alone.
+
+The first scan stores spans only, so rounds work on a small table; the corpus is read again to count
+the patterns, and twice more if patterns are good, for what follows them; sets of patterns and values
+are broadcast if small and joined otherwise. Counts are
 combined before every shuffle, whatever the size of a group of copies.
 
 Defined results: a NULL or empty text has no spans; base spans of different kinds may overlap and
 are all kept; an empty table gives no rows; repeated rows are scanned each for itself, while
-copies of one instance count once for a pattern. Offsets count code points, ends are exclusive.
+copies of one instance count once for a pattern. Of joined groups the whole is found, else those parts
+that are believed; a longer word may be found around a number that is found too. Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -117,21 +124,47 @@ def _before(tokens: tuple[list[str], list[int]], start: int) -> str:
     return " ".join(words[max(0, last - 2) : last])
 
 
-def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Tokens with many digits that no base span touches."""
-    found, done = [], 0
+def _runs(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """Whole runs of letters, digits and hyphens that hold a digit and that no base span touches."""
+    done = 0
     for match in _FROM_DIGIT.finditer(text):
         a, b = match.span()
         while a > done and text[a - 1] in _RUN:
             a -= 1
         done = b
-        if b - a >= CANDIDATE_DIGITS and len(_DIGIT.findall(match.group())) >= CANDIDATE_DIGITS:
-            if all(b <= start or a >= end for _, start, end in taken):
-                found.append((a, b))
+        if all(b <= start or a >= end for _, start, end in taken):
+            yield a, b
+
+
+def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, int, int]]:
+    """(start, end, start and end of the joined groups around it): many digits, no base span."""
+    found, group = [], []
+
+    def close() -> None:
+        if not group:
+            return
+        a, b = group[0][0], group[-1][1]
+        if ")" in text[a:b]:
+            a -= 1
+        if len(group) > 1 and len(_DIGIT.findall(text, a, b)) >= CANDIDATE_DIGITS:
+            found.append((a, b, a, b))
+        for start, end in group:
+            if len(_DIGIT.findall(text, start, end)) >= CANDIDATE_DIGITS:
+                found.append((start, end, a, b))
+
+    for a, b in _runs(text, taken):
+        gap = text[group[-1][1] : a] if group else ""
+        opened = len(group) == 1 and text[group[0][0] - 1 : group[0][0]] == "("
+        if not (gap in _JOINS or (opened and gap in _CLOSES)):
+            close()
+            group = []
+        group.append((a, b))
+    close()
     return found
 
 
-_ROW = "kind int, start int, end int, pattern string, value string"
+_JOINS, _CLOSES = frozenset((" ", "\xa0", ".", "/")), frozenset((")", ") ", ")\xa0"))
+_ROW = "kind int, start int, end int, pattern string, value string, whole string"
 
 
 def _extract(texts: pd.Series) -> pd.Series:
@@ -139,16 +172,111 @@ def _extract(texts: pd.Series) -> pd.Series:
     for text in texts:
         text = text or ""
         base = base_spans(text)
-        spans = base + [(4, a, b) for a, b in candidates(text, base)]
-        tokens = _tokens(text) if spans else ([], [])
-        rows.append([(k, a, b, _before(tokens, a), text[a:b]) for k, a, b in spans])
+        more = candidates(text, base)
+        tokens = _tokens(text) if base or more else ([], [])
+        found = [(k, a, b, _before(tokens, a), text[a:b], None) for k, a, b in base]
+        for a, b, first, last in more:
+            part = (a, b) != (first, last)
+            # The first part stands in the context of the whole, which counts once.
+            pattern = "" if part and len(text[first:a]) < 2 else _before(tokens, a)
+            found.append((4, a, b, pattern, text[a:b], text[first:last] if part else None))
+        rows.append(found)
     return pd.Series(rows)
 
 
 def extracted(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, spans): stored, so that ``row`` names a row for good."""
+    """(doc_id, row, digest, spans): stored, so that ``row`` names a row for good."""
     spans = F.pandas_udf(_extract, f"array<struct<{_ROW}>>")(F.col("text"))
-    return stored(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), spans.alias("spans")), "spans")
+    row = F.monotonically_increasing_id().alias("row")
+    return stored(docs.select("doc_id", row, F.sha2("text", 256).alias("digest"), spans.alias("spans")), "spans")
+
+
+# What stands after a pattern: a run of anything but blanks and the marks here, from its first to its last
+# letter or digit, joined with further groups of digits or with masked parts of a mail address.
+_MARKS = r"\s,;:!?()\[\]{}<>\"=#|*`"
+_CORE = re.compile(rf"(?<![^{_MARKS}])(?:_|[^\w{_MARKS}])*([^\W_](?:[^{_MARKS}]*[^\W_])?)")
+_NEXT = re.compile(r"\s*" + _CORE.pattern)
+_GROUPS = re.compile(r"(?:[\x20\xa0][A-Za-z-]*[0-9][A-Za-z0-9-]*){1,4}")
+_MASKED = re.compile(rf"(?:\s?[\[({{<](?:at|dot|@|\.)[\])}}>]\s?[^{_MARKS}]*[^\W_])+", re.IGNORECASE)
+
+
+def _until(text: str, core: re.Match[str]) -> int:
+    more = _MASKED.match(text, core.end(1)) or (_DIGIT.search(core[1]) and _GROUPS.match(text, core.end(1)))
+    return more.end() if more else core.end(1)
+
+
+def _table(name: str, counts: Counter[str]) -> pd.DataFrame:
+    return pd.DataFrame({name: pd.Series(list(counts), dtype=object), "n": pd.Series(list(counts.values()), dtype="int64")})
+
+
+def _following(good):
+    """What follows the good patterns, or any pattern if they were not broadcast."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        only = good.value if good is not None else None
+        rows = []
+        for text in texts:
+            text = text or ""
+            words, ends = tokens = _tokens(text)
+            runs = enumerate(map(" ".join, zip(words, words[1:], strict=False)), 1)
+            hits = [(at, pattern) for at, pattern in runs if only is None or pattern in only]
+            base = base_spans(text) if hits else []
+            taken = [(a, b) for a, b, *_ in candidates(text, base)] if hits else []
+            found = []
+            for at, pattern in hits:
+                core = _NEXT.match(text, ends[at])
+                if core is None or _before(tokens, core.start(1)) != pattern:
+                    continue
+                a, b = core.start(1), _until(text, core)
+                if all(b <= start or a >= end for _, start, end in base) and not any(s <= a < e for s, e in taken):
+                    found.append((a, b, pattern, text[a:b]))
+            rows.append(found)
+        return pd.Series(rows)
+
+    return run
+
+
+def _standing(wanted):
+    """Count what may follow a pattern, wherever it stands; only wanted values if they were broadcast."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only = wanted.value if wanted is not None else None
+        heads = None if only is None else {_CORE.match(value)[1] for value in only}
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch["text"]:
+                for core in _CORE.finditer(text or ""):
+                    if heads is None or core[1] in heads:
+                        counts[text[core.start(1) : _until(text, core)]] += 1
+            if only is not None:
+                counts = Counter({value: n for value, n in counts.items() if value in only})
+            yield _table("value", counts)
+
+    return run
+
+
+def _shared(df: DataFrame, name: str, most: int):
+    """The values of a column as a broadcast set, or None if there are more than ``most``."""
+    few = df.select(name).limit(most + 1).collect()
+    return df.sparkSession.sparkContext.broadcast({r[name] for r in few}) if len(few) <= most else None
+
+
+def followers(docs: DataFrame, scores: DataFrame, most: int = BROADCAST_PATTERNS) -> DataFrame:
+    """(doc_id, digest, start, end) of words and short numbers that mostly follow good patterns."""
+    good = stored(scores.where(F.col("score") >= BELIEVED).select("pattern"), "good")
+    udf = F.pandas_udf(_following(patterns := _shared(good, "pattern", most)), "array<struct<start int, end int, pattern string, value string>>")
+    spans = docs.select("doc_id", F.sha2("text", 256).alias("digest"), F.explode(udf("text")).alias("s")).select("doc_id", "digest", "s.*")
+    if patterns is None:
+        spans = spans.join(good, "pattern", "left_semi")
+    spans = stored(spans, "followers")
+    hits = spans.groupBy("value").agg(F.count(F.lit(1)).alias("hits"))
+    values = _shared(hits, "value", most)
+    counted = docs.select("text").mapInPandas(_standing(values), "value string, n long")
+    if values is None:
+        counted = counted.join(hits.select("value"), "value", "left_semi")
+    sure = hits.join(counted.groupBy("value").agg(F.sum("n").alias("n")), "value")
+    sure = sure.where(F.col("hits") >= BELIEVED * F.col("n")).select("value")
+    return spans.join(sure, "value", "left_semi").select("doc_id", "digest", "start", "end").distinct()
 
 
 def _occurrences(wanted):
@@ -162,35 +290,32 @@ def _occurrences(wanted):
                 words = _TOKEN.findall(flat(text or ""))
                 runs = map(" ".join, zip(words, words[1:], strict=False))
                 counts.update(runs if only is None else filter(only.__contains__, runs))
-            yield pd.DataFrame({"pattern": list(counts), "n": list(counts.values())})
+            yield _table("pattern", counts)
 
     return run
 
 
 def pattern_totals(docs: DataFrame, patterns: DataFrame, most: int = BROADCAST_PATTERNS) -> DataFrame:
     """Occurrences of each pattern in the corpus, whatever follows it."""
-    spark = docs.sparkSession
-    few = patterns.select("pattern").limit(most + 1).collect()
-    wanted = spark.sparkContext.broadcast({r["pattern"] for r in few}) if len(few) <= most else None
+    wanted = _shared(patterns, "pattern", most)
     counted = docs.select("text").mapInPandas(_occurrences(wanted), "pattern string, n long")
     if wanted is None:
         counted = counted.join(patterns.select("pattern"), "pattern", "left_semi")
     return counted.groupBy("pattern").agg(F.sum("n").alias("occurrences"))
 
 
-def believed(docs: DataFrame, spans: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, value) of candidates that the pattern-instance graph confirms."""
+def believed(docs: DataFrame, spans: DataFrame, *, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame] | None:
+    """Values of candidates that the pattern-instance graph confirms, and the last (pattern, score)."""
     edges = spans.select(F.explode("spans").alias("s")).select("s.pattern", "s.value", (F.col("s.kind") < 4).alias("seed"))
     edges = edges.where("pattern LIKE '% %'").groupBy("pattern", "value", "seed").agg(F.count(F.lit(1)).alias("n"))
     edges = stored(edges, "edges")
     hopeful = edges.where("seed").groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
     hopeful = stored(hopeful.where(F.col("seeds") >= LEAST_SEEDS), "patterns")
-    met = edges.where("NOT seed").join(hopeful, "pattern", "left_semi").select("pattern", "value")
-    if not met.limit(1).count():
-        return met
-    # Only patterns that meet a candidate, now or in a later round, need their totals.
-    linked = edges.where("NOT seed").select("pattern").distinct()
-    totals = stored(pattern_totals(docs, linked), "totals")
+    if not hopeful.limit(1).count():
+        return None
+    # Only patterns that meet a candidate, now or in a later round, or have seeds need their totals.
+    linked = edges.where("NOT seed").select("pattern").union(hopeful.select("pattern")).distinct()
+    totals = stored(pattern_totals(docs, stored(linked, "linked")), "totals")
     instances = stored(
         edges.select("value", F.col("seed").cast("double").alias("trust")).groupBy("value").agg(F.max("trust").alias("trust")),
         "instances",
@@ -214,24 +339,32 @@ def believed(docs: DataFrame, spans: DataFrame, *, rounds: int = ROUNDS) -> Data
         after = stored(after, "instances")
         dropped(instances)
         instances = after
-    sure = instances.where(F.col("trust") >= BELIEVED).select("value")
-    return edges.where("NOT seed").join(sure, "value", "left_semi").select("pattern", "value")
+    found = edges.where("NOT seed").select("value").distinct()
+    return instances.where(F.col("trust") >= BELIEVED).join(found, "value", "left_semi").select("value"), scores
 
 
 def find_pii(docs: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, spans): base spans and confirmed candidates, by kind and start."""
     plain = docs.select("doc_id", "text")
     spans = extracted(plain)
-    sure = believed(plain, spans, rounds=rounds)
-    maybe = spans.select("row", F.explode(F.filter("spans", lambda s: s["kind"] == 4)).alias("s"))
-    found = maybe.join(
-        sure, (F.col("s.pattern") == sure["pattern"]) & (F.col("s.value") == sure["value"]), "left_semi"
-    )
-    found = found.groupBy("row").agg(F.collect_list(F.struct("s.kind", "s.start", "s.end")).alias("more"))
     base = F.transform(F.filter("spans", lambda s: s["kind"] < 4), lambda s: F.struct(s["kind"], s["start"], s["end"]))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    joined = spans.join(found, "row", "left")
-    every = F.array_sort(F.concat(base.cast("array<struct<kind:int,start:int,end:int>>"), F.coalesce("more", none)))
+    base = base.cast("array<struct<kind:int,start:int,end:int>>")
+    known = believed(plain, spans, rounds=rounds)
+    if known is None:
+        return spans.select("doc_id", F.array_sort(base).alias("spans"))
+    sure, scores = known
+    maybe = spans.select("row", F.explode(F.filter("spans", lambda s: s["kind"] == 4)).alias("s"))
+    maybe = maybe.select("row", "s.*").join(sure, "value", "left_semi")
+    wholes = sure.select(F.col("value").alias("whole"))
+    found = maybe.join(wholes, "whole", "left_anti").select("row", "kind", "start", "end")
+    words = followers(plain, scores).groupBy("doc_id", "digest")
+    words = words.agg(F.collect_list(F.struct(F.lit(4).alias("kind"), "start", "end")).alias("words"))
+    words = words.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "words")
+    found = found.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest"))
+    joined = spans.join(found, "row", "left").join(words, same, "left")
+    every = F.array_sort(F.concat(base, F.coalesce("more", none), F.coalesce("words", none)))
     return joined.select("doc_id", every.alias("spans"))
 
 

@@ -110,3 +110,30 @@ def test_patterns_of_spans_are_counted_wherever_they_stand(spark, documents):
     assert {r["pattern"] for r in spans if r["value"] in ("a@b.de", "c@d.de", "e@f.de")} == {"my ssn:", ""}
     counts = pii.pattern_totals(documents(rows), spark.createDataFrame([("my ssn:",)], "pattern string"))
     assert counts.collect() == [("my ssn:", 5)]
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["123 45 6789", "DE89 3704 0044 0532 0130 00", "555.123.4567", "12/34/56", "(555) 123-4567", "jdoe_smith", "A-7", "42",
+     "o.brien", "jane (at) example (dot) org", "jane[at]example[dot]org", "12 34", "8812345", "user_8812345"],
+)
+def test_whatever_stands_in_good_contexts(documents, prose, value):
+    rows = [(k, f"{prose(9)} my contact: user{k}@mail.example.org, {prose(9)}") for k in range(12)]
+    rows += [(100, f"{prose(9)} my contact: {value}, {prose(9)}"), (101, f"{prose(9)} of {value[:3]}x 7712345 {prose(9)}")]
+    rows += [(100, rows[12][1]), (None, rows[12][1]), (102, None)]
+    found = found_texts(rows, pii.pii_report(documents(rows)))
+    assert found[100] == found[None] == [value] and found[101] == []
+    assert not any(found[k] for k in range(12))
+
+
+def test_common_words_and_numbers_are_left_alone(documents, prose):
+    rows = [(k, f"{prose(9)} my contact: user{k}@mail.example.org, {prose(9)}") for k in range(12)]
+    rows += [(100, "my contact: then my contact: 12 and 8812345 or"), (101, "then and 12 or. then 12 at"), (102, "12 then")]
+    assert found_texts(rows, pii.pii_report(documents(rows)))[100] == []
+
+
+def test_followers_do_not_depend_on_the_way(spark, documents, prose):
+    rows = [(1, "my contact: jdoe, x"), (2, "my contact: jdoe. then 12 34 my contact: then"), (None, "my contact: 12 34")]
+    scores = spark.createDataFrame([("my contact:", 0.9), ("then 00", 0.1)], "pattern string, score double")
+    ways = [sorted(map(str, pii.followers(documents(rows), scores, most).collect())) for most in (0, 100)]
+    assert ways[0] == ways[1] and len(ways[0]) == 2
