@@ -49,6 +49,40 @@ _RESULTS = "array<struct<content:string,id:string,level:int,linked:boolean>>"
 _KEY = ["_conv", "_turn", "_digest"]
 
 
+def with_tool_parts(conversations: DataFrame) -> DataFrame:
+    """Derive calls and results from turns that hold neither, without looking at other rows.
+
+    A user turn calls a tool by an identifier of its own and names an earlier user turn; a quarter of
+    the calls have an argument of the wrong type. An assistant turn answers the turn before it.
+    References go back half the way, so chains grow with the logarithm of a conversation's length.
+    """
+    text, turn = F.col("text"), F.col("turn")
+    about = F.translate(F.substring(text, 1, 40), "<>$", "")
+    back = (turn - 2 * F.ceil(turn / 4)).cast("long")
+    given = F.when(turn >= 2, F.concat(F.lit("$t"), back)).otherwise(about)
+    kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+
+    def call(name: str, *arguments: Column) -> Column:
+        return F.to_json(
+            F.struct(F.concat(F.lit("t"), turn).alias("id"), F.lit(name).alias("name"), F.struct(*arguments).alias("arguments"))
+        )
+
+    size = F.length(text)
+    part = (
+        F.when(kind == 0, call("search", given.alias("query"), size.alias("limit")))
+        .when(kind == 1, call("calculate", given.alias("expression")))
+        .when(kind == 2, call("fetch", given.alias("url"), F.struct(about.alias("from")).alias("headers")))
+        .otherwise(call("search", given.alias("query"), size.cast("string").alias("limit")))
+    )
+    content = F.struct(size.alias("size"), about.alias("about"))
+    answer = F.to_json(F.struct(F.concat(F.lit("t"), turn - 1).alias("id"), content.alias("content")))
+    asked = F.concat(text, F.lit("<tool_call>"), part, F.lit("</tool_call>"))
+    answered = F.concat(text, F.lit("<tool_result>"), answer, F.lit("</tool_result>"))
+    told = F.when(F.col("role") == "user", asked).when((F.col("role") == "assistant") & (turn > 0), answered)
+    bare = ~(text.rlike(CALL) | text.rlike(RESULT)) & turn.isNotNull()
+    return conversations.withColumn("text", F.when(bare, F.coalesce(told, text)).otherwise(text))
+
+
 def canonical_json(variant: Column) -> Column:
     """Keys sorted, no white space: variants keep the fields of objects in the order of keys."""
     return F.to_json(variant)

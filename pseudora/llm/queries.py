@@ -52,7 +52,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chatformat.format_chat(table(spark, sf_dir, "conversations"))
+    # The given conversations hold no tool parts: derived ones put every step to work.
+    return chatformat.format_chat(chatformat.with_tool_parts(table(spark, sf_dir, "conversations")))
 
 
 @query

@@ -71,3 +71,28 @@ def test_keys_are_sorted_at_every_depth(spark):
     arguments = json.loads(message)["tool_calls"][0]["arguments"]
     assert arguments == json.dumps(json.loads(arguments), sort_keys=True, separators=(",", ":"))
     assert message == json.dumps(json.loads(message), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_the_query_works_on_calls_of_the_given_rows(spark, tmp_path):
+    """A conversation of 2,000 turns holds nearly all rows."""
+    from pseudora.llm import queries
+
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f'say "{k}" <b>', "x", 9) for k in range(2000)]
+    rows += [(2, 0, "system", "be kind", "x", 9), (2, 1, "user", None, "x", 9), (2, None, "user", "a", "x", 9)]
+    rows += [(3, 0, "system", "be kind", "x", 9), (3, 1, "user", "$a", "x", 9), (3, 2, "assistant", "b", "x", 9)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {(r["conv_id"], r["turn"]): r for r in queries.QUERIES["op3_format_chat"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    long = [found[1, k] for k in range(2000)]
+    assert all((r["n_calls"], r["n_results"], r["n_linked"]) == ((1, 0, 1), (0, 1, 1))[k % 2] for k, r in enumerate(long))
+    levels = {}
+    for k in range(0, 2000, 2):
+        levels[k] = 1 + levels[k - 2 * -(-k // 4)] if k >= 2 else 0
+        assert long[k]["level"] == long[k + 1]["level"] == levels[k]
+    assert max(levels.values()) > 5
+    for k in range(0, 2000, 2):
+        (made,) = json.loads(long[k]["message"])["tool_calls"]
+        assert made["valid"] == (not isinstance(json.loads(made["arguments"]).get("limit"), str))
+    assert 300 < sum(r["n_valid"] for r in long) < 1000
+    assert [found[2, k]["n_calls"] for k in (0, 1, None)] == [0, 0, 0]
+    assert (found[3, 1]["n_linked"], found[3, 1]["level"], found[3, 2]["n_linked"]) == (1, 0, 1)
