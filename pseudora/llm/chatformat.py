@@ -13,7 +13,8 @@ nothing is collected per conversation, so one may hold any share of all rows.
 Defined results: a NULL text is JSON null; a part that is not valid JSON is a call or result
 without identifier, invalid and unlinked; of repeated identifiers the first call and the last
 result count; a result links only to a call of the same or an earlier turn; calls on a cycle, or
-that depend on one, or on an unknown identifier, have level -1; repeated rows are formatted each for
+that depend on one, or on an unknown identifier, have level -1; lists follow the text, and ``order``
+numbers them topologically: by level, unresolved ones last, then by place; repeated rows are formatted each for
 itself; an empty table gives no rows; other columns are ignored.
 """
 
@@ -44,8 +45,8 @@ _TYPES = {
     "array": "ARRAY<.*",
     "object": "OBJECT<.*",
 }
-_CALLS = "array<struct<arguments:string,id:string,level:int,linked:boolean,name:string,result:string,valid:boolean>>"
-_RESULTS = "array<struct<content:string,id:string,level:int,linked:boolean>>"
+_CALLS = "array<struct<arguments:string,id:string,level:int,linked:boolean,name:string,order:int,result:string,valid:boolean>>"
+_RESULTS = "array<struct<content:string,id:string,level:int,linked:boolean,order:int>>"
 _KEY = ["_conv", "_turn", "_digest"]
 
 
@@ -165,6 +166,20 @@ def call_levels(calls: DataFrame) -> DataFrame:
     return levels
 
 
+def _ordered(parts: str, kind: str, schema: str) -> Column:
+    """The parts in the order of the text, each with its place in the topological order."""
+    last = F.lit(2**31 - 1)
+    rank = lambda p: F.struct(F.when(p[kind]["level"] < 0, last).otherwise(p[kind]["level"]), p["place"])
+    places = F.transform(F.array_sort(F.transform(parts, rank)), lambda r: r["place"])
+    names = [f.split(":")[0] for f in schema.removeprefix("array<struct<").removesuffix(">>").split(",")]
+
+    def told(p: Column) -> Column:
+        order = (F.array_position(places, p["place"]) - 1).cast("int")
+        return F.struct(*((order if n == "order" else p[kind][n]).alias(n) for n in names))
+
+    return F.transform(parts, told)
+
+
 def _message(calls: Column, results: Column) -> Column:
     fields = {
         "content": F.col("text"),
@@ -227,7 +242,7 @@ def format_chat(conversations: DataFrame, *, tools=TOOLS) -> DataFrame:
         return df.join(renamed, on, "left")
 
     both = met(met(keyed, calls_in, "c"), results_in, "r")
-    call_list, result_list = F.transform("calls", lambda c: c["call"]), F.transform("results", lambda r: r["result"])
+    call_list, result_list = _ordered("calls", "call", _CALLS), _ordered("results", "result", _RESULTS)
     # A list is empty, not null, where a message has only the other kind of part.
     call_list = F.coalesce(call_list, F.from_json(F.lit("[]"), _CALLS))
     result_list = F.coalesce(result_list, F.from_json(F.lit("[]"), _RESULTS))

@@ -96,3 +96,15 @@ def test_the_query_works_on_calls_of_the_given_rows(spark, tmp_path):
     assert 300 < sum(r["n_valid"] for r in long) < 1000
     assert [found[2, k]["n_calls"] for k in (0, 1, None)] == [0, 0, 0]
     assert (found[3, 1]["n_linked"], found[3, 1]["level"], found[3, 2]["n_linked"]) == (1, 0, 1)
+
+
+def test_parts_are_numbered_in_topological_order(spark):
+    names = [("d", "$zz"), ("a", "$c"), ("c", "$b"), ("b", "x"), ("e", "x")]
+    calls = "".join(call(n, "fetch", {"url": need}) for n, need in names)
+    rows = [(1, 0, "assistant", calls), (1, 1, "tool", answer("a", 1) + answer("b", 2) + answer("none", 3) + answer("c", 4))]
+    found = run(spark, rows)
+    made = json.loads(found[1, 0][0]["message"])["tool_calls"]
+    assert [c["id"] for c in made] == ["d", "a", "c", "b", "e"]
+    assert [c["id"] for c in sorted(made, key=lambda c: c["order"])] == ["b", "e", "c", "a", "d"]
+    results = json.loads(found[1, 1][0]["message"])["tool_results"]
+    assert [r["id"] for r in sorted(results, key=lambda r: r["order"])] == ["b", "c", "a", "none"]
