@@ -323,10 +323,18 @@ def jaccard_components(
 
 
 def keep_one(docs: DataFrame, **parameters) -> DataFrame:
-    """Drop every document but the one with the smallest id of its component."""
-    found = jaccard_components(docs, **parameters).where("doc_id <> component_id")
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Keep one row of each component, that with the smallest id, rows with NULL ids last.
+
+    Components are those of rows, numbered in a stored copy: ids may be NULL, repeated or have
+    unrelated texts. Rows without words are linked with nothing, so all of them stay.
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows-in")
+    found = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), **parameters)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    ids = rows.select("_row", "doc_id").join(found, "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
+    kept = ids.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -126,3 +126,13 @@ def test_connected_follows_long_chains(spark):
     assert {found[k] for k in range(61)} == {0}
     assert {found[k] for k in (100, 101, 102)} == {100}
     assert connected(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_keep_one_decides_by_rows(documents, prose):
+    a, b, c, d = (prose(60) for _ in range(4))
+    rows = [(None, a), (None, a), (None, a + " x"), (7, b), (7, b), (None, b), (3, c), (9, c), (9, d), (None, None), (8, ""), (8, "")]
+    kept = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in ngramjoin.keep_one(documents(rows)).collect() if r["text"])
+    (only,) = [k for k in kept if k[0]]
+    assert only[2] in (a, a + " x")
+    assert kept[:-1] == sorted([(False, 7, b), (False, 3, c), (False, 9, d)])
+    assert ngramjoin.keep_one(documents(rows)).where("coalesce(text, '') = ''").count() == 3
