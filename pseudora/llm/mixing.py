@@ -90,8 +90,13 @@ def apportioned(df: DataFrame, group: list[str], ties: list[str]) -> DataFrame:
 
     Rounding votes/divisor is the highest-quotient rule for the divisor that fills the seats. One
     aggregate tries many divisors at once and narrows the range; the few seats that are left go
-    to the highest next quotients, equal ones in the order of ``ties``.
+    to the highest next quotients, equal ones in the order of ``ties``. Without a ``group`` all rows
+    are one, however many, and no task sees them all.
     """
+
+    def met(rows: DataFrame, side: DataFrame) -> DataFrame:
+        return rows.join(side, group) if group else rows.crossJoin(F.broadcast(side))
+
     sums = df.groupBy(*group).agg(
         F.sum("votes").alias("_votes"), F.count(F.lit(1)).alias("_rows"), F.max("seats").alias("_seats")
     )
@@ -110,7 +115,7 @@ def apportioned(df: DataFrame, group: list[str], ties: list[str]) -> DataFrame:
     step = (F.col("_high") - F.col("_low")) / _GRID
     fair = F.col("votes") * F.col("_unit")
     for _ in range(max(1, math.ceil(math.log(widest * 2, _GRID)))):
-        tried = df.join(bounds, group).groupBy(*group, "_unit", "_low", "_high")
+        tried = met(df, bounds).groupBy(*group, "_unit", "_low", "_high")
         at = [F.sum(F.floor(fair * (F.col("_low") + step * k) + 0.5)) for k in range(_GRID + 1)]
         fits = tried.agg(
             F.max("seats").alias("_seats"), *(a.alias(f"_sum{k}") for k, a in enumerate(at))
@@ -127,17 +132,21 @@ def apportioned(df: DataFrame, group: list[str], ties: list[str]) -> DataFrame:
             ),
             "divisors",
         )
-    base = df.join(bounds.select(*group, "_unit", "_low"), group)
+    base = met(df, bounds.select(*group, "_unit", "_low"))
     base = base.withColumn("_base", F.floor(fair * F.col("_low") + 0.5))
-    spare = F.col("seats") - F.sum("_base").over(Window.partitionBy(*group))
-    next_quotient = F.col("votes") / (2 * F.col("_base") + 1)
-    rank = F.row_number().over(
-        Window.partitionBy(*group).orderBy(F.desc("_quotient"), *map(F.asc_nulls_last, ties))
-    )
-    extra = base.withColumns({"_spare": spare, "_quotient": next_quotient})
-    won = F.when((rank <= F.col("_spare")) & (F.col("votes") > 0), 1).otherwise(0)
+    base = base.withColumn("_quotient", F.col("votes") / (2 * F.col("_base") + 1))
+    order = [F.desc("_quotient"), *map(F.asc_nulls_last, ties)]
+    if group:
+        parts = Window.partitionBy(*group)
+        spare, rank = F.col("seats") - F.sum("_base").over(parts), F.row_number().over(parts.orderBy(*order))
+        extra = base.withColumns({"_spare": spare, "_rank": rank})
+    else:
+        placed = ranked(base, order, "_place")
+        extra = met(placed, placed.agg((F.max("seats") - F.sum("_base")).alias("_spare")))
+        extra = extra.withColumn("_rank", F.col("_place") + 1).drop("_place")
+    won = F.when((F.col("_rank") <= F.col("_spare")) & (F.col("votes") > 0), 1).otherwise(0)
     return extra.withColumn("quota", (F.col("_base") + won).cast("long")).drop(
-        "_unit", "_low", "_base", "_spare", "_quotient"
+        "_unit", "_low", "_base", "_spare", "_quotient", "_rank"
     )
 
 
@@ -184,8 +193,8 @@ def mix_sources(
     )
     house = cells.agg(F.round(F.sum(F.col("_part") * F.col("blocks")))).first()[0] or 0
     seats = apportioned(
-        stored(whole.withColumns({"seats": F.lit(int(house)), "_all": F.lit(0)}), "votes"),
-        ["_all"],
+        stored(whole.withColumn("seats", F.lit(int(house))), "votes"),
+        [],
         ["position"],
     )
     seats = seats.select("position", F.least("quota", "blocks").alias("seats"))

@@ -82,3 +82,17 @@ def test_positions_follow_the_order(spark):
     df = spark.createDataFrame([(x,) for x in ["b", None, "a", "ö", "z"]], "source string")
     found = mixing.ranked(df, [F.asc_nulls_last("source")], "position").collect()
     assert {r["source"]: r["position"] for r in found} == {"a": 0, "b": 1, "z": 2, "ö": 3, None: 4}
+
+
+def test_seats_of_all_rows_need_no_common_task(spark, documents, prose, monkeypatch):
+    chance = random.Random(5)
+    votes = [chance.choice([0, 1, 3, 3, 50, chance.random() * 90]) for _ in range(300)]
+    df = spark.createDataFrame([(k, float(v), 701) for k, v in enumerate(votes)], "k int, votes double, seats int")
+    found = {r["k"]: r["quota"] for r in mixing.apportioned(df, [], ["k"]).collect()}
+    assert [found[k] for k in range(300)] == highest_quotients(votes, 701)
+    assert mixing.apportioned(df.where("k < 0"), [], ["k"]).count() == 0
+    groups, whole = [], mixing.apportioned
+    monkeypatch.setattr(mixing, "apportioned", lambda df, group, ties: groups.append(group) or whole(df, group, ties))
+    rows = [(k, prose(9), f"s{k}") for k in range(40)]
+    assert mixing.mix_sources(documents(rows)).count() == 40
+    assert groups == [[], ["position"]]
