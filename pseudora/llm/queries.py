@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pseudora.llm import (
     chatformat,
     decontamination,
+    filteraudit,
     mixing,
     ngramjoin,
     pii,
+    prefixtrie,
     quality,
     secrets,
+    tokencount,
     topk,
     toxicity,
     urlfilter,
@@ -28,6 +31,8 @@ ORACLES: dict[str, str] = {
     "op2_secret_scan": secrets.ORACLE_SQL,
     "op6_decontaminate": decontamination.ORACLE_SQL,
     "op8_exact_top_k": topk.ORACLE_SQL,
+    "op11_audit_filters": filteraudit.ORACLE_SQL,
+    "op12_prefix_trie": prefixtrie.ORACLE_SQL,
 }
 
 
@@ -93,6 +98,21 @@ def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -69,6 +69,14 @@ class Words:
         return mixed((total[self.end] - total[self.start]) * down[self.start] + length)
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One hash per span of bytes, as they stand."""
+    up, down = _Powers.upto(len(raw))
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[raw] * up, out=total[1:])
+    return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words; shorter input than that is one run, none is empty."""
     count = len(words)
@@ -81,13 +89,18 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
-def sub_batches(texts: list[bytes], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+def size_ranges(sizes: list[int], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes; a longer text is a range of its own."""
-    first = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > most:
+    first = held = 0
+    for k, size in enumerate(sizes):
+        if held and held + size > most:
             yield first, k
-            first, size = k, 0
-        size += len(text) + 1
-    if first < len(texts):
-        yield first, len(texts)
+            first, held = k, 0
+        held += size + 1
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def sub_batches(texts: list[bytes], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """``size_ranges`` of the texts."""
+    return size_ranges(list(map(len, texts)), most)

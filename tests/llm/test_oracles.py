@@ -28,4 +28,4 @@ def test_query(spark, con, name):
 
 def test_one_query_per_operator():
     numbers = [int(m[1]) for name in entry.queries() if (m := re.match(r"op(\d+)_", name))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
