@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -34,19 +35,14 @@ def normalize_identifier(value: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(value.cast("string")), r"\P{Alnum}+", "_"))
 
 
-def _cut(value: Column, width: int):
-    return lambda at: F.substr(value, at, F.lit(width))
+def grams(column: str, sizes: Sequence[int]) -> Column:
+    """Array of the distinct substrings of a text column of the given sizes; the empty one has size 0.
 
-
-def grams_upto(value: Column, size: int) -> Column:
-    """Array of the distinct substrings of at most ``size`` characters, the empty one included.
-
-    Its length is at most ``size`` times that of the text, however long that is.
+    Its length is at most the number of sizes times that of the text, however long that is.
     """
-    length = F.length(value)
-    grams = [F.array(F.lit(""))]
-    for width in range(1, size + 1):
-        starts = F.when(length >= width, F.sequence(F.lit(1), length - width + 1))
-        pieces = F.transform(starts, _cut(value, width))
-        grams.append(F.coalesce(pieces, F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*grams))
+    parts = []
+    for width in sizes:
+        starts = f"sequence(1, length({column}) - {width - 1})" if width else "array(1)"
+        pieces = f"transform({starts}, k -> substr({column}, k, {width}))"
+        parts.append(f"IF(length({column}) >= {width}, {pieces}, CAST(array() AS array<string>))")
+    return F.expr(f"array_distinct(concat({', '.join(parts)}))")

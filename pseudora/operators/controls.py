@@ -14,6 +14,7 @@ RECORD_KEY = ("source_system", "source_record_id")
 LINEAGE = ("_source_file", "_ingested_at", "_batch_id")
 
 
+# Names, order and types of the columns of the three control views.
 def build_consent_status(raw: DataFrame, *, run_ts: datetime | None = None) -> DataFrame:
     return raw.select(
         normalize_key(F.col("source_system")).alias("source_system"),
@@ -50,6 +51,13 @@ def build_retention_policy(raw: DataFrame, *, run_ts: datetime | None = None) ->
     )
 
 
+def unreadable_policies(raw: DataFrame) -> DataFrame:
+    """Policies whose retention days are no whole number; the default applies in their place."""
+    days = F.col("retention_days").cast("string")
+    unread = days.isNotNull() & F.col("retention_days").try_cast("int").isNull()
+    return raw.where(unread).select("source_system", "dataset_name", "retention_days", "policy_owner")
+
+
 def active_deletions(requests: DataFrame) -> DataFrame:
     """One blocking request per record: the earliest, then the lowest request id.
 

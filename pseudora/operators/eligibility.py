@@ -20,7 +20,7 @@ from pseudora.functions.rules import (
 from pseudora.functions.hashing import quoted
 from pseudora.operators.bronze import timestamp_column
 from pseudora.operators.controls import RECORD_KEY, active_deletions
-from pseudora.plans.skew import LOOKUP_MAX_ROWS, ROWS_PER_TASK, lookup_left_join, spread_left_join
+from pseudora.plans.skew import LOOKUP_MAX_ROWS, ROWS_PER_TASK, KeyCounts, lookup_left_join, spread_left_join
 
 DATASET_KEY = ("source_system", "source_dataset_name")
 
@@ -81,11 +81,14 @@ def join_controls(
     *,
     rows_per_task: int = ROWS_PER_TASK,
     max_policies: int = LOOKUP_MAX_ROWS,
+    identity_counts: KeyCounts | None = None,
+    consent_counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Identity with consent, blocking deletion and retention; one shuffle of the identities.
 
     ``prepared`` comes from storage: the row number drawn there deals its rows in every join, so a
-    task that is run again deals them alike.
+    task that is run again deals them alike. Counts of frequent record keys, where the caller has
+    them, save a look at the keys.
     """
     flagged = spread_left_join(
         prepared.withColumn("_row", F.monotonically_increasing_id()),
@@ -94,6 +97,8 @@ def join_controls(
         unique=[active_deletions(deletion_requests)],
         left_spread_by=F.col("_row"),
         rows_per_task=rows_per_task,
+        left_counts=identity_counts,
+        many_counts=consent_counts,
     )
     return lookup_left_join(
         flagged,
@@ -101,6 +106,8 @@ def join_controls(
         DATASET_KEY,
         left_spread_by=F.col("_row"),
         max_rows=max_policies,
+        rows_per_task=rows_per_task,
+        counted=prepared,
     ).drop("_row")
 
 
@@ -155,6 +162,8 @@ def build_processing_eligibility(
     as_of: date | None = None,
     run_ts: datetime | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    identity_counts: KeyCounts | None = None,
+    consent_counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Permissions of every identity record with the controls and reasons behind them."""
     joined = join_controls(
@@ -163,6 +172,8 @@ def build_processing_eligibility(
         deletion_requests,
         retention_policy,
         rows_per_task=rows_per_task,
+        identity_counts=identity_counts,
+        consent_counts=consent_counts,
     )
     return with_flags(joined, as_of=as_of).select(
         "source_system",

@@ -1,8 +1,8 @@
 """Scoring of profiled columns against a dictionary of business concepts.
 
 Every score that is kept needs at least one name to contain the other. So instead of comparing all
-columns with all concepts, the distinct names on one side meet short anchors of those on the other in
-an equi-join; only names that contain one another leave it.
+columns with all concepts, the distinct names on one side meet the rarest piece of each name on the
+other in an equi-join; only names that contain one another leave it.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pseudora.functions.naming import grams_upto, normalize_identifier
+from pseudora.functions import naming
+from pseudora.functions.naming import normalize_identifier
 from pseudora.operators.bronze import timestamp_column
-from pseudora.plans.skew import spread_left_join
+from pseudora.plans.skew import ROWS_PER_TASK, KeyCounts, spread_left_join
+from pseudora.sources.tables import stored, stored_counted
 
 # Match flags with their weight and reported reason, in the order in which both are
 # put together; the score that is kept; the bounds of the decisions.
@@ -32,7 +34,10 @@ REVIEW_SCORE = 0.50
 # Inferred types that stand for a canonical field of another name.
 TYPE_SYNONYMS = (("name", "full_name"), ("date", "date_of_birth"))
 
-ANCHOR = 4
+#: Pieces by which contained texts are found; a text shorter than ``SHORT`` is its own piece.
+GRAM_SIZES = (4, 8, 16)
+SHORT = GRAM_SIZES[0]
+HELD_SIZES = (*range(SHORT), *GRAM_SIZES)
 
 PROFILE_COLUMNS = (
     "source_system",
@@ -54,22 +59,60 @@ CONCEPT_COLUMNS = (
 GROUP_KEY = ("source_system", "table_name", "column_name")
 
 
-def _contained(long: DataFrame, short: DataFrame) -> DataFrame:
+def _known(rows: int, rows_per_task: int) -> KeyCounts | None:
+    """So few rows hold no heavy key; of more, the join finds them."""
+    return {} if rows <= rows_per_task else None
+
+
+def _contained(long: DataFrame, short: DataFrame, long_grams: int, short_rows: int, rows_per_task: int) -> DataFrame:
     """(name, term) where the text of ``long`` contains that of ``short``.
 
-    A contained text is anchored by its first ``ANCHOR`` characters, met by the grams of the other
-    side and verified, so the rows of a text grow in proportion to its length.
+    Pieces of all sizes are counted over ``long``. A contained text is anchored by its piece that
+    fewest of these texts hold, so it meets no more of them than that; a text with a piece that none
+    holds is contained in none. What meets is verified. The rows of a text grow in proportion to its
+    length, and pieces that many texts share or are anchored by are cut.
     """
     outer, inner = long.columns[0], short.columns[0]
-    grams = long.select(outer, F.explode(grams_upto(F.col(outer), ANCHOR)).alias("gram"))
-    anchors = short.select(inner, F.substring(inner, 1, ANCHOR).alias("gram"))
-    met = grams.join(anchors, "gram").where(F.col(outer).contains(F.col(inner)))
-    return met.select("name", "term")
+    pieces = F.when(F.length(inner) < SHORT, F.array(F.col(inner))).otherwise(naming.grams(inner, GRAM_SIZES))
+    wanted = short.select(inner, F.explode(pieces).alias("gram"))
+    held = long.select(outer, F.explode(naming.grams(outer, HELD_SIZES)).alias("gram"))
+    often = held.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+    rare = wanted.join(often, "gram", "left")
+    rarest = F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram")).alias("anchor")
+    anchors = rare.groupBy(inner).agg(rarest).where("anchor.often > 0").select(inner, F.col("anchor.gram").alias("gram"))
+    of_short, of_long = _known(short_rows, rows_per_task), _known(long_grams, rows_per_task)
+    met = spread_left_join(
+        anchors if of_short is not None else stored(anchors, "anchors"),
+        ["gram"],
+        many=held,
+        many_spread_by=F.xxhash64(outer),
+        left_spread_by=F.xxhash64(inner),
+        rows_per_task=rows_per_task,
+        left_counts=of_short,
+        many_counts=of_long,
+    )
+    return met.where(F.col(outer).contains(F.col(inner))).select("name", "term")
+
+
+def containing_pairs(
+    names: DataFrame,
+    terms: DataFrame,
+    *,
+    name_size: tuple[int, int],
+    term_size: tuple[int, int],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Distinct (name, term) where either contains the other; inputs are distinct and non-NULL.
+
+    The sizes are the rows and characters of both, or more.
+    """
 
+    def pieces(size: tuple[int, int]) -> int:
+        return len(HELD_SIZES) * (size[0] + size[1])
 
-def containing_pairs(names: DataFrame, terms: DataFrame) -> DataFrame:
-    """Distinct (name, term) where either contains the other; inputs are distinct and non-NULL."""
-    return _contained(names, terms).union(_contained(terms, names)).distinct()
+    there = _contained(names, terms, pieces(name_size), term_size[0], rows_per_task)
+    back = _contained(terms, names, pieces(term_size), name_size[0], rows_per_task)
+    return there.union(back).distinct()
 
 
 def _contains(a: Column, b: Column) -> Column:
@@ -84,7 +127,7 @@ def _type_match(inferred: Column, canonical: Column) -> Column:
     return match
 
 
-def match_flags(profiles: DataFrame, concepts: DataFrame) -> DataFrame:
+def match_flags(profiles: DataFrame, concepts: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Profile x concept rows with the five match flags, for names that contain one another."""
     columns = profiles.where(~F.col("column_name").startswith("_")).select(
         *PROFILE_COLUMNS, normalize_identifier(F.col("column_name")).alias("name")
@@ -94,27 +137,32 @@ def match_flags(profiles: DataFrame, concepts: DataFrame) -> DataFrame:
         normalize_identifier(F.col("canonical_field_name")).alias("canonical"),
         normalize_identifier(F.col("concept_name")).alias("concept"),
     )
-    names = columns.where(F.col("name").isNotNull()).select("name").distinct()
-    terms = (
-        dictionary.select(F.explode(F.array("canonical", "concept")).alias("term"))
-        .where(F.col("term").isNotNull())
-        .distinct()
+    columns, *column_size = stored_counted(columns, "columns", "name")
+    dictionary, *term_size = stored_counted(dictionary, "dictionary", "canonical", "concept")
+    spelled = dictionary.select("*", F.posexplode(F.array("canonical", "concept")).alias("place", "term"))
+    pairs, n_pairs, _ = stored_counted(
+        containing_pairs(
+            columns.where("name IS NOT NULL").select("name").distinct(),
+            spelled.where("term IS NOT NULL").select("term").distinct(),
+            name_size=tuple(column_size),
+            term_size=(2 * term_size[0], term_size[1]),
+            rows_per_task=rows_per_task,
+        ),
+        "containing",
     )
-    pairs = containing_pairs(names, terms)
-    # Which spellings of a concept meet which name; both terms of a concept may hit one name.
-    spellings = dictionary.select("canonical", "concept").distinct()
-    either = F.explode(F.array_distinct(F.array("canonical", "concept")))
-    met = (
-        spellings.select("*", either.alias("term"))
-        .join(pairs, "term")
-        .select("name", "canonical", "concept")
-        .distinct()
-        .alias("met")
+    either = spread_left_join(
+        pairs,
+        ["term"],
+        many=spelled,
+        left_spread_by=F.xxhash64("name"),
+        many_spread_by=F.xxhash64(*CONCEPT_COLUMNS),
+        rows_per_task=rows_per_task,
+        left_counts=_known(n_pairs, rows_per_task),
+        many_counts=_known(2 * term_size[0], rows_per_task),
     )
-    same_spelling = F.col("met.canonical").eqNullSafe(F.col("d.canonical")) & F.col(
-        "met.concept"
-    ).eqNullSafe(F.col("d.concept"))
-    partners = dictionary.alias("d").join(met, same_spelling).select("met.name", "d.*")
+    # A concept that a name meets by its canonical term needs no second row for the other one.
+    once = (F.col("place") == 0) | ~F.coalesce(_contains(F.col("name"), F.col("canonical")), F.lit(False))
+    partners, n_partners, _ = stored_counted(either.where(once).select("name", *dictionary.columns), "partners")
     name, canonical, concept = F.col("name"), F.col("canonical"), F.col("concept")
     return (
         spread_left_join(
@@ -122,6 +170,9 @@ def match_flags(profiles: DataFrame, concepts: DataFrame) -> DataFrame:
             ["name"],
             many=partners.withColumn("met", F.lit(True)),
             many_spread_by=F.xxhash64(*CONCEPT_COLUMNS),
+            rows_per_task=rows_per_task,
+            left_counts=_known(column_size[0], rows_per_task),
+            many_counts=_known(n_partners, rows_per_task),
         )
         .where("met")
         .select(

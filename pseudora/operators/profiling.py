@@ -3,15 +3,21 @@
 The table is unpivoted to (column, value) and counted per distinct value. That one shuffle, which
 combines on the map side, feeds both the statistics and the sample values: whatever the number of
 columns, the source is scanned once and no task ever holds the distinct values of a column.
+
+Long values are shuffled as their first characters, length and a digest, so what moves does not
+depend on how long texts are. Only if some of a column's smallest values are long are these few
+fetched: by a second scan of such columns, in which each task keeps the smallest of those that begin
+like them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -34,11 +40,14 @@ from pyspark.sql.types import (
 from pseudora.functions.hashing import quoted
 from pseudora.functions.naming import infer_simple_type
 from pseudora.operators.bronze import timestamp_column
+from pseudora.plans.together import run_together
 from pseudora.sources.tables import write_table
 
 SAMPLE_SIZE = 5
 SAMPLE_SEPARATOR = " | "
+HEAD = 64  # characters of a value that are shuffled as they are
 _ZERO = "0.0"
+_WIDE = (StringType, BinaryType, ArrayType, StructType, MapType, VariantType)
 
 
 @dataclass(frozen=True)
@@ -67,20 +76,28 @@ def _exact_text(name: str, kind: DataType) -> Column:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(place, value, exact, value_count): each distinct value of a column, NULL included.
+    """(place, value, exact, size, value_count): each distinct value of a column, NULL included.
 
-    ``value`` is the printed text, ``exact`` a text that differs for differing values, NULL where
-    the printed one does.
+    ``value`` is the printed text. Of a long one it is the first ``HEAD`` characters and a digest,
+    and ``size`` its length. ``exact`` differs for differing values that print alike.
     """
-    cells = []
+    # Texts first, what is taken of them after that, so that none is made twice.
+    texts, cells = [], []
     for i, name in enumerate(columns):
         kind = df.schema[name].dataType
-        text, exact = quoted(name).cast("string"), _exact_text(name, kind)
         plain = isinstance(kind, (StringType, IntegralType, DecimalType, DateType, BooleanType))
-        same = F.lit(None).cast("string") if plain else exact
-        cells.append(F.struct(F.lit(f"c{i}").alias("place"), text.alias("value"), same.alias("exact")))
-    long_form = df.select(F.inline(F.array(*cells)))
-    return long_form.groupBy("place", "value", "exact").agg(F.count(F.lit(1)).alias("value_count"))
+        texts.append(quoted(name).cast("string").alias(f"t{i}"))
+        if not plain:
+            texts.append(_exact_text(name, kind).alias(f"e{i}"))
+        text, exact, size = f"t{i}", "CAST(NULL AS STRING)" if plain else f"e{i}", "CAST(NULL AS INT)"
+        if isinstance(kind, _WIDE):
+            size = f"IF(length({text}) > {HEAD}, length({text}), NULL)"
+            if not plain:
+                exact = f"IF(length({exact}) > {HEAD}, left(sha2({exact}, 256), 32), {exact})"
+            text = f"IF(length({text}) > {HEAD}, concat(left({text}, {HEAD}), left(sha2({text}, 256), 32)), {text})"
+        cells.append(f"struct('c{i}' AS place, {text} AS value, {exact} AS exact, {size} AS size)")
+    long_form = df.select(*texts).selectExpr(f"inline(array({', '.join(cells)}))")
+    return long_form.groupBy("place", "value", "exact", "size").agg(F.count(F.lit(1)).alias("value_count"))
 
 
 def _column_list(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -93,7 +110,7 @@ def _column_list(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def column_statistics(counts: DataFrame) -> DataFrame:
     """Row, NULL, distinct and length statistics per column."""
-    size = F.length("value")
+    size = F.coalesce("size", F.length("value"))
     weight = F.col("value_count")
     has_value = F.col("value").isNotNull()
     # The zeros of either sign print differently, yet are one value.
@@ -108,25 +125,75 @@ def column_statistics(counts: DataFrame) -> DataFrame:
     )
 
 
-def sample_values(counts: DataFrame) -> DataFrame:
-    """The smallest distinct values of each column, joined.
+def smallest_heads(counts: DataFrame) -> DataFrame:
+    """(place, samples, long_heads): the smallest distinct heads of each column.
 
-    The rank filter is applied before the shuffle too, so at most ``SAMPLE_SIZE`` values per
-    column and partition move. NULL ranks last and is skipped when the values are collected; were
-    it, or the counts, left out earlier, the optimizer would scan and count a second time for this
-    branch instead of reading the shuffled counts of the statistics again.
+    Among them are the heads of its smallest values. ``samples`` are those of short values, which
+    are the values, ``long_heads`` those of long ones. The rank filter is applied before the shuffle
+    too, so at most a few heads per column and partition move. NULL ranks last and is skipped when
+    the values are collected; were it, or the counts, left out earlier, the optimizer would scan and
+    count a second time for this branch instead of reading the shuffled counts of the statistics
+    again.
     """
-    smallest = Window.partitionBy("place").orderBy(F.col("value").asc_nulls_last())
+    smallest = Window.partitionBy("place").orderBy(F.col("head").asc_nulls_last())
+    is_long = F.col("size").isNotNull()
     return (
         counts.where(F.col("value_count") > 0)
+        .withColumn("head", F.left("value", F.lit(HEAD)))
         .withColumn("rank", F.dense_rank().over(smallest))
         .where(F.col("rank") <= SAMPLE_SIZE)
         .groupBy("place")
-        .agg(F.array_sort(F.collect_set("value")).alias("samples"))
-        .select("place", F.array_join("samples", SAMPLE_SEPARATOR).alias("sample_values"))
+        .agg(
+            F.array_sort(F.collect_set(F.when(~is_long, F.col("head")))).alias("samples"),
+            F.array_sort(F.collect_set(F.when(is_long, F.col("head")))).alias("long_heads"),
+        )
     )
 
 
+def _smallest_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest distinct texts of each column in a partition, held as the pass goes on."""
+    kept: dict[str, set[bytes]] = {}
+    for batch in batches:
+        for place, text in zip(batch.column("place"), batch.column("value"), strict=True):
+            best = kept.setdefault(place.as_py(), set())
+            best.add(text.as_py())
+            if len(best) > 4 * SAMPLE_SIZE:
+                kept[place.as_py()] = set(sorted(best)[:SAMPLE_SIZE])
+    rows = [(place, text) for place, best in kept.items() for text in sorted(best)[:SAMPLE_SIZE]]
+    if rows:
+        places, texts = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(texts, pa.binary())], names=["place", "value"])
+
+
+def long_samples(df: DataFrame, columns: Sequence[str], heads: dict[str, list[str]]) -> DataFrame:
+    """(place, long_samples): the smallest long values that begin with one of a column's heads."""
+    cells = []
+    for i, name in enumerate(columns):
+        if wanted := heads.get(f"c{i}"):
+            text = quoted(name).cast("string")
+            fits = (F.length(text) > HEAD) & F.substring(text, 1, HEAD).isin(wanted)
+            cells.append(F.struct(F.lit(f"c{i}").alias("place"), F.when(fits, text.cast("binary")).alias("value")))
+    texts = df.select(F.inline(F.array(*cells))).where("value IS NOT NULL")
+    few = texts.mapInArrow(_smallest_texts, "place string, value binary").distinct()
+    smallest = Window.partitionBy("place").orderBy("value")
+    few = few.withColumn("rank", F.row_number().over(smallest)).where(F.col("rank") <= SAMPLE_SIZE)
+    return few.groupBy("place").agg(F.collect_list(F.col("value").cast("string")).alias("long_samples"))
+
+
+def _with_samples(df: DataFrame, columns: Sequence[str], found: DataFrame) -> DataFrame:
+    """Statistics with the sample values joined; long ones are fetched where there are any."""
+    if any(isinstance(df.schema[name].dataType, _WIDE) for name in columns):
+        # At most a row per column, and a few heads in each.
+        rows = found.collect()
+        found = df.sparkSession.createDataFrame(rows, found.schema)
+        heads = {row["place"]: row["long_heads"] for row in rows if row["long_heads"]}
+        if heads:
+            found = found.join(long_samples(df, columns, heads), "place", "left")
+            every = F.array_union("samples", F.coalesce("long_samples", F.array().cast("array<string>")))
+            found = found.withColumn("samples", F.slice(F.array_sort(every), 1, SAMPLE_SIZE))
+    return found.withColumn("sample_values", F.array_join("samples", SAMPLE_SEPARATOR))
+
+
 def profile_columns(
     df: DataFrame,
     *,
@@ -139,7 +206,8 @@ def profile_columns(
     """One profile row per named column."""
     counts = value_counts(df, columns)
     # Both sides below have one row per column of the table.
-    stats = column_statistics(counts).join(sample_values(counts), "place", "left")
+    stats = column_statistics(counts).join(smallest_heads(counts), "place", "left")
+    stats = _with_samples(df, columns, stats)
     profile = _column_list(df, columns).join(stats, "place", "left")
     distinct = F.col("distinct_values")
     return profile.select(
@@ -209,9 +277,10 @@ def profile_sources(
     """Profiles of several tables, written to one and read back."""
     if not specs:
         raise ValueError("no tables to profile")
-    profiles = [
-        profile_table(spark=spark, spec=spec, batch_id=batch_id, run_ts=run_ts) for spec in specs
-    ]
+    profiles = run_together(
+        spark,
+        [partial(profile_table, spark=spark, spec=spec, batch_id=batch_id, run_ts=run_ts) for spec in specs],
+    )
     return write_table(
         reduce(DataFrame.unionByName, profiles), target_table, table_format=table_format
     )

@@ -1,29 +1,40 @@
 """The five stages over catalog tables. Each stage reads tables, writes tables and nothing else.
 
 Outputs that build on another output of the same stage read it back from storage, so no plan is
-evaluated twice and a lost executor costs no more than the stage at hand.
+evaluated twice and a lost executor costs no more than the stage at hand. Every output names the
+ones it builds on; those that do not wait for one another are written at the same time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pseudora.functions.hashing import resolve_salt
+from pseudora.functions.rules import normalize_key
 from pseudora.operators.controls import (
+    RECORD_KEY,
     build_consent_status,
     build_deletion_requests,
     build_retention_policy,
+    unreadable_policies,
 )
 from pseudora.operators.eligibility import build_compliance_events, build_processing_eligibility
 from pseudora.operators.identity import build_standardized_customer_df
 from pseudora.operators.mapping import build_mapping_decisions, build_semantic_mapping_candidates
 from pseudora.operators.profiling import SourceTableSpec, profile_sources
 from pseudora.sources.landing import BronzeIngestSpec, ingest_csv_to_bronze
-from pseudora.sources.tables import write_table
+from pseudora.plans.skew import KeyCounts, measured
+from pseudora.plans.together import Graph, run_graph
+from pseudora.sources.tables import note, noted, write_table
+
+RECORD_KEY_COUNTS = "record_key_counts"
+REPORTED = 20  # unreadable policies that a warning names
 
 
 @dataclass(frozen=True)
@@ -58,6 +69,21 @@ class Run:
     def write(self, df: DataFrame, schema: str, name: str) -> DataFrame:
         return write_table(df, self.layout.table(schema, name), table_format=self.table_format)
 
+    def write_counted(self, df: DataFrame, schema: str, name: str) -> DataFrame:
+        """Write a table of records and note its most frequent record keys, found on the way."""
+        watched, counts = measured(df, record_key(df))
+        written = self.write(watched, schema, name)
+        note(df.sparkSession, self.layout.table(schema, name), RECORD_KEY_COUNTS, counts())
+        return written
+
+    def counts(self, spark: SparkSession, schema: str, name: str) -> KeyCounts | None:
+        return noted(spark, self.layout.table(schema, name), RECORD_KEY_COUNTS)
+
+
+def record_key(df: DataFrame) -> list:
+    """The record key of a table as the joins of stage 05 compare it."""
+    return [normalize_key(F.col(RECORD_KEY[0])), F.col(RECORD_KEY[1]).cast("string")]
+
 
 # Source system and data set of the six landing files.
 LANDING_FILES = (
@@ -84,16 +110,18 @@ def landing_specs(run: Run, landing_paths: dict[str, str]) -> list[BronzeIngestS
     ]
 
 
-def run_ingest(spark: SparkSession, run: Run, specs: Sequence[BronzeIngestSpec]) -> None:
-    for spec in specs:
-        ingest_csv_to_bronze(
-            spark=spark,
-            spec=spec,
-            batch_id=run.batch_id,
-            run_ts=run.run_ts,
-            table_format=run.table_format,
+def ingest_graph(spark: SparkSession, run: Run, specs: Sequence[BronzeIngestSpec]) -> Graph:
+    def ingest(spec: BronzeIngestSpec) -> Callable[[], DataFrame]:
+        return lambda: ingest_csv_to_bronze(
+            spark=spark, spec=spec, batch_id=run.batch_id, run_ts=run.run_ts, table_format=run.table_format
         )
 
+    return {spec.target_table: ((), ingest(spec)) for spec in specs}
+
+
+def run_ingest(spark: SparkSession, run: Run, specs: Sequence[BronzeIngestSpec]) -> None:
+    run_graph(spark, ingest_graph(spark, run, specs))
+
 
 def run_profiling(spark: SparkSession, run: Run) -> DataFrame:
     specs = [
@@ -136,21 +164,87 @@ def run_semantic_mapping(
     )
 
 
+def standardization_graph(spark: SparkSession, run: Run, key: str) -> Graph:
+    raw = {name: run.layout.table("bronze", f"{name}_raw") for _, name in CUSTOMER_SOURCES}
+
+    def standardized(system: str, name: str) -> Callable[[], DataFrame]:
+        return lambda: run.write(
+            build_standardized_customer_df(
+                spark.table(raw[name]), source_system=system, source_dataset_name=name, pseudonymization_salt=key
+            ),
+            "silver",
+            f"{name}_standardized",
+        )
+
+    def candidates() -> DataFrame:
+        crm, erp = (spark.table(run.layout.table("silver", f"{name}_standardized")) for _, name in CUSTOMER_SOURCES)
+        return run.write_counted(crm.unionByName(erp), "silver", "customer_identity_candidates")
+
+    graph = {f"{name}_standardized": ([raw[name]], standardized(system, name)) for system, name in CUSTOMER_SOURCES}
+    return graph | {"customer_identity_candidates": (list(graph), candidates)}
+
+
 def run_standardization(
     spark: SparkSession, run: Run, *, salt: str | None, allow_dev_salt: bool = False
 ) -> DataFrame:
     key = resolve_salt(salt, allow_dev_salt=allow_dev_salt)
-    written = []
-    for system, name in CUSTOMER_SOURCES:
-        standardized = build_standardized_customer_df(
-            spark.table(run.layout.table("bronze", f"{name}_raw")),
-            source_system=system,
-            source_dataset_name=name,
-            pseudonymization_salt=key,
+    return _run_alone(spark, standardization_graph(spark, run, key))["customer_identity_candidates"]
+
+
+def compliance_graph(spark: SparkSession, run: Run) -> Graph:
+    ts = run.run_ts
+
+    def raw(name: str) -> str:
+        return run.layout.table("bronze", f"{name}_raw")
+
+    def table(name: str, schema: str = "compliance") -> DataFrame:
+        return spark.table(run.layout.table(schema, name))
+
+    def consents() -> DataFrame:
+        status = build_consent_status(spark.table(raw("consent_preferences")), run_ts=ts)
+        return run.write_counted(status, "compliance", "consent_status")
+
+    def deletions() -> DataFrame:
+        requests = build_deletion_requests(spark.table(raw("deletion_requests")), run_ts=ts)
+        return run.write(requests, "compliance", "deletion_requests")
+
+    def policy() -> DataFrame:
+        stated = spark.table(raw("data_retention_policy"))
+        odd = unreadable_policies(stated).limit(REPORTED).collect()
+        if odd:
+            named = ", ".join(f"{row['dataset_name']} ({row['retention_days']})" for row in odd)
+            warnings.warn(f"retention days that are no number, the default applies: {named}", stacklevel=2)
+        return run.write(build_retention_policy(stated, run_ts=ts), "compliance", "retention_policy")
+
+    def eligibility() -> DataFrame:
+        decided = build_processing_eligibility(
+            identity_candidates=table("customer_identity_candidates", "silver"),
+            consent_status=table("consent_status"),
+            deletion_requests=table("deletion_requests"),
+            retention_policy=table("retention_policy"),
+            as_of=run.as_of,
+            run_ts=ts,
+            identity_counts=run.counts(spark, "silver", "customer_identity_candidates"),
+            consent_counts=run.counts(spark, "compliance", "consent_status"),
         )
-        written.append(run.write(standardized, "silver", f"{name}_standardized"))
-    crm, erp = written
-    return run.write(crm.unionByName(erp), "silver", "customer_identity_candidates")
+        return run.write(decided, "compliance", "processing_eligibility")
+
+    def events() -> DataFrame:
+        return run.write(build_compliance_events(table("processing_eligibility"), run_ts=ts), "compliance", "compliance_events")
+
+    controls = ["consent_status", "deletion_requests", "retention_policy"]
+    return {
+        "consent_status": ([raw("consent_preferences")], consents),
+        "deletion_requests": ([raw("deletion_requests")], deletions),
+        "retention_policy": ([raw("data_retention_policy")], policy),
+        "processing_eligibility": ([*controls, "customer_identity_candidates"], eligibility),
+        "compliance_events": (["processing_eligibility"], events),
+    }
+
+
+def _run_alone(spark: SparkSession, graph: Graph) -> dict[str, DataFrame]:
+    """Run one stage, whose inputs from other stages are there."""
+    return run_graph(spark, {name: ([n for n in needs if n in graph], write) for name, (needs, write) in graph.items()})
 
 
 def run_compliance_controls(
@@ -158,35 +252,7 @@ def run_compliance_controls(
 ) -> DataFrame:
     """Stage 05; without a run, over the usual schemas of a catalog at the present time."""
     run = run or Run(layout=Layout(catalog=catalog))
-
-    def raw(name: str) -> DataFrame:
-        return spark.table(run.layout.table("bronze", f"{name}_raw"))
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return run.write(df, "compliance", name)
-
-    ts = run.run_ts
-    consents = keep(build_consent_status(raw("consent_preferences"), run_ts=ts), "consent_status")
-    deletions = keep(
-        build_deletion_requests(raw("deletion_requests"), run_ts=ts), "deletion_requests"
-    )
-    policy = keep(
-        build_retention_policy(raw("data_retention_policy"), run_ts=ts), "retention_policy"
-    )
-    eligibility = keep(
-        build_processing_eligibility(
-            identity_candidates=spark.table(
-                run.layout.table("silver", "customer_identity_candidates")
-            ),
-            consent_status=consents,
-            deletion_requests=deletions,
-            retention_policy=policy,
-            as_of=run.as_of,
-            run_ts=ts,
-        ),
-        "processing_eligibility",
-    )
-    return keep(build_compliance_events(eligibility, run_ts=ts), "compliance_events")
+    return _run_alone(spark, compliance_graph(spark, run))["compliance_events"]
 
 
 def run_all(
@@ -197,20 +263,29 @@ def run_all(
     salt: str | None,
     allow_dev_salt: bool = False,
 ) -> DataFrame:
-    """Stages 01 to 05 in order; returns the eligibility table."""
-    run_ingest(spark, run, landing_specs(run, landing_paths))
-    run_profiling(spark, run)
+    """Stages 01 to 05, every table as soon as those it builds on are there; returns eligibility."""
+    key = resolve_salt(salt, allow_dev_salt=allow_dev_salt)
     table = run.layout.table
-    run_semantic_mapping(
-        spark=spark,
-        profile_table=table("metadata", "source_column_profile"),
-        concepts_table=table("bronze", "semantic_concepts_raw"),
-        candidates_table=table("metadata", "semantic_mapping_candidates"),
-        decisions_table=table("metadata", "mapping_decisions"),
-        batch_id=run.batch_id,
-        run_ts=run.run_ts,
-        table_format=run.table_format,
-    )
-    run_standardization(spark, run, salt=salt, allow_dev_salt=allow_dev_salt)
-    run_compliance_controls(spark, run)
+
+    def mapped() -> DataFrame:
+        return run_semantic_mapping(
+            spark=spark,
+            profile_table=table("metadata", "source_column_profile"),
+            concepts_table=table("bronze", "semantic_concepts_raw"),
+            candidates_table=table("metadata", "semantic_mapping_candidates"),
+            decisions_table=table("metadata", "mapping_decisions"),
+            batch_id=run.batch_id,
+            run_ts=run.run_ts,
+            table_format=run.table_format,
+        )
+
+    sources = [table("bronze", f"{name}_raw") for _, name in CUSTOMER_SOURCES]
+    graph = {
+        **ingest_graph(spark, run, landing_specs(run, landing_paths)),
+        "source_column_profile": (sources, lambda: run_profiling(spark, run)),
+        "mapping_decisions": (["source_column_profile", table("bronze", "semantic_concepts_raw")], mapped),
+        **standardization_graph(spark, run, key),
+        **compliance_graph(spark, run),
+    }
+    run_graph(spark, graph)
     return spark.table(table("compliance", "processing_eligibility"))

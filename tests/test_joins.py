@@ -63,9 +63,33 @@ def test_spread_by_content(sides):
 
 
 def test_heavy_keys(sides):
-    left, _, _ = sides
-    assert rows(skew.heavy_keys(left, ["k"], 100)) == {("hot", 3): 1}
-    assert rows(skew.heavy_keys(left, ["k"], 300)) == {}
+    left, many, _ = sides
+    by_key = {r.h: r.k for r in left.select("k", skew.key_hash([F.col("k")]).alias("h")).distinct().collect()}
+    hashes = [side.select(skew.key_hash([F.col("k")]).alias("h")) for side in (left, many)]
+    of_left, of_many = skew.count_keys(hashes)
+    for most, want in [(150, {"hot": (2, 1)}), (60, {"hot": (5, 1), "k2": (1, 2)})]:
+        grid = skew.heavy_grid(of_left, of_many, most)
+        assert {by_key[key]: cut for key, cut in grid.items()} == want
+    assert skew.heavy_grid(of_left, of_many, 300) == {}
+    assert skew.count_keys([hashes[0].limit(0)]) == [{}]
+
+
+def test_keys_are_counted_while_a_side_is_written(spark, sides, tmp_path):
+    left, many, _ = sides
+    watched, counts = skew.measured(left, [F.col("k")])
+    watched.write.parquet(str(tmp_path / "left"))
+    assert counts() == skew.count_keys([left.select(skew.key_hash([F.col("k")]).alias("h"))])[0]
+    stored = spark.read.parquet(str(tmp_path / "left"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("measured", "")
+    try:
+        got = skew.spread_left_join(
+            stored, ["k"], many=many.drop("j"), left_counts=counts(), many_counts={}, rows_per_task=50
+        )
+        assert not jobs("measured")  # no side was read to plan the join
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(got) == rows(stored.join(many.drop("j"), "k", "left").select(*got.columns))
 
 
 def test_copies_of_a_heavy_key_end_up_in_several_tasks(spark, sides):
@@ -92,8 +116,9 @@ def test_lookup_is_broadcast_only_when_it_measures_small(spark, sides):
     left, many, _ = sides
     policy = many.drop("j")
     small = skew.lookup_left_join(left, policy, ["k"])
-    large = skew.lookup_left_join(left, policy, ["k"], max_rows=10)
-    assert rows(small) == rows(large.select(*small.columns))
+    for limit in (10, 10**6):
+        large = skew.lookup_left_join(left, policy, ["k"], max_rows=10, rows_per_task=limit, counted=left.select("k"))
+        assert rows(small) == rows(large.select(*small.columns))
     assert skew.fits_broadcast(policy, max_rows=300)
     assert not skew.fits_broadcast(policy, max_rows=299)
     assert not skew.fits_broadcast(policy, max_chars=100)
@@ -121,3 +146,28 @@ def test_large_lookups_read_the_left_side_once_and_deal_by_content(spark, sides,
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "monotonically_increasing_id" not in plan
+
+
+def test_large_lookups_are_copied_for_hot_keys_only(spark, sides):
+    """300 rows of one key on the left in parts of 50: its lookup rows go to 6 cells, others to one."""
+    left, many, _ = sides
+    policy = many.drop("j").where("k IS NOT NULL")
+    counts = skew.count_keys([left.select(skew.key_hash([F.col("k")]).alias("h"))])[0]
+    grid = skew.heavy_grid(counts, {}, 50)
+    assert list(grid.values()) == [(6, 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew.lookup_left_join(left, policy, ["k"], max_rows=1, rows_per_task=50)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot, rest = policy.where("k = 'hot'").count(), policy.where("k <> 'hot'").count()
+    copied = skew._with_parts(policy, _grid_of(spark, grid), skew.key_hash([F.col("k")]))
+    copied = copied.select(F.explode(F.sequence(F.lit(1), "_left_parts")))
+    assert copied.count() == 6 * hot + rest < 2 * policy.count() + 6 * hot
+    assert "SortMergeJoin" in plan
+
+
+def _grid_of(spark, grid):
+    return spark.createDataFrame([(key, *cut) for key, cut in grid.items()], skew._GRID)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from pseudora.operators import bronze, controls, eligibility, identity, mapping, pairs, profiling
 from pseudora.operators import reports
+from pseudora.plans import skew
+from pseudora.sources import tables
 
 TS = datetime(2025, 1, 1)
 
@@ -111,6 +113,31 @@ def test_profile_scans_once_and_limits_samples_before_the_shuffle(spark, tmp_pat
     assert final.count("WindowGroupLimit") == 2
 
 
+def test_long_values_are_profiled_whole(spark, tmp_path):
+    same, chance = "x" * 64, random.Random(3)
+    texts = ["b", None, same, same + "b", same + "a", "y" * 5000, same + "b", "x" * 63, "z", same + "c" * 900, "w"]
+    texts += [same + "d" + "".join(chance.choices("ab", k=300)) for _ in range(200)]
+    rows = [(t, [t, "q"], (t or "").encode(), k) for k, t in enumerate(texts * 3)]
+    df = spark.createDataFrame(rows, "t string, a array<string>, b binary, k long").repartition(5)
+    got = {r.column_name: r for r in profile(df).collect()}
+    for name in ("t", "a", "b"):
+        printed = [r[0] for r in df.select(F.col(name).cast("string")).collect()]
+        values = sorted({p for p in printed if p is not None})
+        sizes = [len(p) for p in printed if p is not None]
+        assert got[name].sample_values == " | ".join(values[:5])
+        assert (got[name].distinct_count, got[name].max_length) == (len(values), max(sizes))
+        assert got[name].avg_length == pytest.approx(sum(sizes) / len(sizes))
+
+
+def test_what_a_profile_shuffles_does_not_depend_on_the_length_of_texts(spark):
+    def shuffled(length):
+        df = spark.range(0, 400, 1, 4).select(F.rpad(F.concat(F.lit("doc"), "id"), length, "-").alias("text"))
+        counts = profiling.value_counts(df, ["text"])
+        return counts.select(F.length(F.concat_ws("", "place", "value", "exact"))).groupBy().sum().first()[0]
+
+    assert shuffled(100) == shuffled(20_000)
+
+
 def test_profile_needs_tables_and_columns(spark):
     with pytest.raises(ValueError, match="tables"):
         profiling.profile_sources(spark=spark, specs=[], target_table="x", batch_id="b")
@@ -556,15 +583,18 @@ def some_people():
     return people
 
 
-@pytest.mark.parametrize(("threshold", "rows_per_task"), [(0.75, 4), (0.65, 10**6)])
-def test_no_pair_that_reaches_the_threshold_is_left_out(spark, threshold, rows_per_task):
+@pytest.mark.parametrize(
+    ("threshold", "rows_per_task", "group_most"),
+    [(0.75, 4, 2000), (0.65, 10**6, 3), (0.75, 10**6, 2), (0.38, 10**6, 5), (0.1, 50, 10)],
+)
+def test_no_pair_that_reaches_the_threshold_is_left_out(spark, threshold, rows_per_task, group_most):
     people = some_people()
     fields = (
         "source_system string, source_record_id string, standard_name string, date_of_birth string, postal_code string, "
         "address_text string, email_hash string, phone_hash string, can_process_for_entity_resolution boolean"
     )
     df = spark.createDataFrame(people + people[:7], fields)
-    found = pairs.block_pairs(df, threshold=threshold, rows_per_task=rows_per_task)
+    found = pairs.block_pairs(df, threshold=threshold, rows_per_task=rows_per_task, group_most=group_most)
     rows = [
         ((r.left_source_system, r.left_source_record_id), (r.right_source_system, r.right_source_record_id))
         for r in found.collect()
@@ -602,7 +632,76 @@ def test_no_pair_that_reaches_the_threshold_is_left_out(spark, threshold, rows_p
     assert set(rows) == want
 
 
-def test_a_threshold_that_blocks_nothing_is_refused():
-    with pytest.raises(ValueError, match="nothing need agree"):
-        pairs.blocks_for(0.3)
+def test_blocks():
     assert [b.exact for b in pairs.blocks_for(0.75)] == [("born", "code"), ("born",), ("code",)]
+    assert [b.finer[0] if b.finer else None for b in pairs.blocks_for(0.75)] == ["name", "name", None]
+    low = pairs.blocks_for(0.3)
+    assert [b.exact for b in low] == [("born", "code"), ("born",), ("code",), ()] and low[0].name < 0
+
+
+def crowd(spark, n, seed=1):
+    """People of one birth date and postal code, with random names and places."""
+    chance = random.Random(seed)
+
+    def word(least, most):
+        return "".join(chance.choices("aaaabcdeeefghiiijklmnooopqrstuvwxyz", k=chance.randint(least, most)))
+
+    rows = [
+        ("crm", f"{k:06}", f"{word(3, 8)} {word(4, 10)}", "1900-01-01", "00000", f"{word(5, 12)} {chance.randint(1, 999)}", None, None, True)
+        for k in range(n)
+    ]
+    fields = (
+        "source_system string, source_record_id string, standard_name string, date_of_birth string, postal_code string, "
+        "address_text string, email_hash string, phone_hash string, can_process_for_entity_resolution boolean"
+    )
+    return spark.createDataFrame(rows, fields)
+
+
+def candidates_of(df, threshold, most):
+    nodes = df.selectExpr(
+        "monotonically_increasing_id() AS row", "standard_name AS name", "date_of_birth AS born",
+        "postal_code AS code", "address_text AS place",
+    )
+    for text in ("name", "place"):
+        masks = {f"{text}_size": F.length(text), f"{text}_bits": pairs._bits(pairs._numbered(F.col(text)))}
+        nodes = nodes.withColumns(masks)
+    return pairs.candidate_rows(tables.stored(nodes, "nodes"), threshold, most).count()
+
+
+def test_candidates_of_one_birth_date_and_postal_code_grow_with_the_output(spark):
+    """Where all exact features agree, most pairs of people still differ too much to be scored."""
+    for n in (300, 900):
+        df = crowd(spark, n)
+        output = pairs.block_pairs(df).count()
+        candidates = candidates_of(df, 0.75, 10**6)
+        assert output <= candidates <= 20 * output + 20
+        assert candidates < n * (n - 1) // 2 / 500
+
+
+def test_finer_keys_lose_nothing(spark):
+    df = crowd(spark, 250, seed=5)
+    want = sorted(map(tuple, pairs.block_pairs(df, group_most=10**6).collect()))
+    for most in (40,):
+        assert sorted(map(tuple, pairs.block_pairs(df, group_most=most).collect())) == want
+    same_day = df.withColumn("postal_code", F.col("source_record_id"))  # now names must be alike
+    want = sorted(map(tuple, pairs.block_pairs(same_day, group_most=10**6).collect()))
+    assert sorted(map(tuple, pairs.block_pairs(same_day, group_most=5).collect())) == want
+
+
+def test_members_of_a_hot_class_are_spread(spark):
+    rows = [("crm", f"{k:05}", "jan vrba", "1964-05-30", "77900", "u mostu 4", None, None, True) for k in range(3000)]
+    df = spark.createDataFrame(rows, crowd(spark, 1).schema)
+    found = pairs.block_pairs(df, rows_per_task=200)
+    assert found.count() == 2999
+    assert {r[0] for r in found.select("left_source_record_id").distinct().collect()} == {"00000"}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = tables.stored(df.select("source_record_id", F.lit("x").alias("alike")), "keyed")
+        centre = keyed.groupBy("alike").agg(F.min("source_record_id").alias("first"))
+        joined = skew.spread_left_join(keyed, ["alike"], unique=[centre], rows_per_task=200)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tasks) >= 4 and max(t["count"] for t in tasks) < 1500

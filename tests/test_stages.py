@@ -230,3 +230,108 @@ def test_a_failing_write_leaves_the_old_table(spark, run):
         tables.write_table(broken, target)
     assert spark.table(target).columns == ["a"] and spark.table(target).count() == 3
     assert tables.write_table(spark.range(2).toDF("c"), target).columns == ["c"]
+
+
+def test_independent_writes_overlap_and_a_failure_stops_the_rest(spark):
+    import threading
+    import time
+
+    order, together, lock = [], threading.Barrier(3, timeout=20), threading.Lock()
+
+    def job(name, meet=False):
+        def write():
+            if meet:
+                together.wait()  # passes only if three jobs run at the same time
+            with lock:
+                order.append(name)
+            return spark.range(1)
+
+        return write
+
+    graph = {
+        "a": ((), job("a", meet=True)),
+        "b": ((), job("b", meet=True)),
+        "c": ((), job("c", meet=True)),
+        "d": (("a", "b"), job("d")),
+        "e": (("d", "c"), job("e")),
+    }
+    assert set(stages.run_graph(spark, graph)) == set(graph)
+    assert set(order[:3]) == {"a", "b", "c"} and order[-2:] == ["d", "e"]
+
+    def fails():
+        time.sleep(0.1)
+        raise RuntimeError("broken")
+
+    order.clear()
+    with pytest.raises(RuntimeError, match="broken"):
+        stages.run_graph(spark, {"x": ((), fails), "y": (("x",), job("y"))})
+    assert order == []
+
+
+def test_what_each_table_waits_for(spark, run):
+    specs = stages.landing_specs(run, dict.fromkeys(("crm", "erp", "reference", "compliance"), "/x"))
+    ingests = stages.ingest_graph(spark, run, specs)
+    assert len(ingests) == 6 and not any(needs for needs, _ in ingests.values())
+    controls = stages.compliance_graph(spark, run)
+    first = [name for name, (needs, _) in controls.items() if not set(needs) & set(controls)]
+    assert first == ["consent_status", "deletion_requests", "retention_policy"]
+
+
+def test_key_counts_are_noted_at_tables(spark, run):
+    counts = run.counts(spark, "compliance", "consent_status")
+    assert len(counts) == 6 and set(counts.values()) == {1}
+    assert len(run.counts(spark, "silver", "customer_identity_candidates")) == 7
+
+
+def test_a_write_that_fails_leaves_a_table(spark, monkeypatch, tmp_path):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t_atomic")
+    name = "spark_catalog.t_atomic.t"
+    old = spark.range(3).selectExpr("id", "'old' AS v")
+    new = spark.range(5).selectExpr("id", "'new' AS v")
+    wider = spark.range(4).selectExpr("id", "'wide' AS v", "1 AS more")
+    tables.write_table(old, name)
+    boom = new.selectExpr("id", "IF(id > 3, raise_error('no'), v) AS v")
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(boom, name)
+    assert tables.read_table(spark, name).where("v = 'old'").count() == 3
+
+    def stop(point):
+        """Interrupt the next write where it runs the given command."""
+        plain = type(spark).sql
+
+        def sql(self, text, *args, **kwargs):
+            if text.startswith(point):
+                monkeypatch.undo()
+                raise KeyboardInterrupt(point)
+            return plain(self, text, *args, **kwargs)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+
+    stop("ALTER TABLE")  # before the switch: the old version stands
+    with pytest.raises(KeyboardInterrupt):
+        tables.write_table(new, name)
+    assert tables.read_table(spark, name).where("v = 'old'").count() == 3
+    monkeypatch.setattr(tables, "_removed", lambda *args: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):  # after the switch: the new one does
+        tables.write_table(new, name)
+    monkeypatch.undo()
+    assert tables.read_table(spark, name).where("v = 'new'").count() == 5
+    for point in ("ALTER TABLE", "DROP TABLE", "SHOW TBLPROPERTIES"):  # a change of schema
+        stop(point)
+        with pytest.raises(KeyboardInterrupt):
+            tables.write_table(wider, name)
+        assert tables.read_table(spark, name).count() in (4, 5)
+        tables.write_table(new, name)
+    assert tables.write_table(wider, name).columns == ["id", "v", "more"]
+    assert tables.write_table(old, name).count() == 3
+    spark.sql("DROP TABLE spark_catalog.t_atomic.t")
+
+
+def test_unreadable_policies_are_reported(spark):
+    from pseudora.operators import controls
+
+    raw = spark.createDataFrame(
+        [("crm", "a", "30", "x"), ("crm", "b", "forever", "x"), ("erp", "c", None, "y")],
+        "source_system string, dataset_name string, retention_days string, policy_owner string",
+    )
+    assert [r.dataset_name for r in controls.unreadable_policies(raw).collect()] == ["b"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from pseudora.operators import (
     reports,
 )
 from pseudora.plans import skew, stages
+from pseudora.plans.together import run_together
 from pseudora.sources import landing, tables
 from workloads.adapter import (
     AS_OF,
@@ -390,12 +391,9 @@ def profile_null_stats(i: Inputs) -> DataFrame:
 
 
 def profile_distinct_stats(i: Inputs) -> DataFrame:
-    found = [
-        i.profile(i.table(name), name).select(
-            "table_name", "column_name", "distinct_count", "distinct_rate"
-        )
-        for name in ("lineitem", "embeddings", "events")
-    ]
+    names = ("lineitem", "embeddings", "events")
+    profiles = run_together(i.spark, [partial(i.profile, i.table(name), name) for name in names])
+    found = [p.select("table_name", "column_name", "distinct_count", "distinct_rate") for p in profiles]
     return reduce(DataFrame.unionByName, found)
 
 
