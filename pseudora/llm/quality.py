@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from pseudora.llm import textvec
 from pseudora.llm.labelled import held_out, labelled_sample
+from pseudora.llm.packing import packed, unpacked
 
 TRAIN_DOCS = 8000
 TREES, DEPTH, CUTS = 24, 3, 24
@@ -186,6 +187,8 @@ def fit(x: np.ndarray, y: np.ndarray, *, trees: int = TREES, depth: int = DEPTH,
         rules += paths
         margin += 2.0 * fitted
     rules = [rule for rule in dict.fromkeys(rules)]
+    if not rules:  # too few documents, or all alike: nothing tells the labels apart
+        return RuleEnsemble((), (), float(np.log(y.mean() / (1 - y.mean()))))
     design = np.stack([_holds(x, rule) for rule in rules], axis=1).astype(float)
     weights, intercept = _lasso(design, y.astype(float), lasso)
     kept = [k for k in range(len(rules)) if weights[k]]
@@ -212,19 +215,23 @@ def _lasso(design: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, limit: int = TRAIN_DOCS) -> RuleEnsemble:
-    """Fit on at most ``limit`` labelled documents; only their statistics reach the driver."""
+    """Fit on at most ``limit`` labelled documents; only their statistics reach the driver.
+
+    Of rows that repeat an id one is taken, that with the smallest statistics.
+    """
     sample = F.broadcast(labelled_sample(labels, "quality", limit))
     rows = docs.select("doc_id", "text").join(sample, "doc_id")
-    rows = rows.select("doc_id", "label", statistics_column(F.col("text")).alias("s")).collect()
+    rows = rows.select("doc_id", "label", statistics_column(F.col("text")).alias("s"))
+    rows = rows.groupBy("doc_id", "label").agg(F.min("s").alias("s")).collect()
     rows.sort(key=lambda r: (r["doc_id"], tuple(r["s"])))
     x = np.array([tuple(row["s"]) for row in rows]).reshape(-1, len(STATISTICS))
     return fit(x, np.array([row["label"] for row in rows]))
 
 
 def score_quality(docs: DataFrame, model: RuleEnsemble, *, name: str = "score") -> DataFrame:
-    """``docs`` with ``name``, the chance that a document is good."""
-    rated = docs.withColumn("_statistics", statistics_column(F.col("text")))
-    return rated.withColumn(name, model.score("_statistics")).select(*docs.columns, name)
+    """``docs`` with ``name``, the chance that a document is good, in place of a column so called."""
+    rated = packed(docs, "text").withColumn("statistics", statistics_column(F.col("text")))
+    return unpacked(rated, docs.columns, **{name: model.score("statistics")})
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -239,5 +246,6 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """Drop documents that the classifier rejects."""
-    scored = score_quality(docs, train(docs, labels), name="_score")
-    return scored.where(F.col("_score") >= threshold).select(*docs.columns)
+    rated = packed(docs, "text").withColumn("statistics", statistics_column(F.col("text")))
+    good = rated.where(train(docs, labels).score("statistics") >= threshold)
+    return unpacked(good, docs.columns)
