@@ -6,7 +6,9 @@ one, and every hit is verified word by word. A benchmark too large to broadcast
 join of the hashes instead, verified by a second, independent 64-bit hash; results are the same.
 
 What was found is keyed by the text's SHA-256, so copies of a text count once, whatever their
-number, and rows with equal or NULL ids are judged each by their own text.
+number, and rows with equal or NULL ids are judged each by their own text. Texts never move: rows
+with an item's words are few, and their keys, counted first, are broadcast to the documents; only
+beyond ``MAX_FOUND`` of them are the documents' keys shuffled, those of many copies cut.
 
 Defined results: a NULL or empty text has no words and is clean; items without words and items
 with a NULL id give no windows; repeated items count once by id; an empty benchmark hits nothing;
@@ -18,9 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pseudora.llm.packing import ROW, packed, unpacked, without
+from pseudora.llm.store import stored
+from pseudora.plans.skew import spread_left_join
+
 WINDOW = 13
 HIT_PERCENT = 5
 MAX_WINDOWS, MAX_CHARS = 300_000, 64_000_000
+MAX_FOUND = 200_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,7 +73,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def matches(
     docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, max_windows: int = MAX_WINDOWS
 ) -> DataFrame:
-    """Verified hits per distinct text: (_key, n_hit, item ids)."""
+    """Verified hits per distinct text: (_key, n_hit, item ids, n_words)."""
     windows = benchmark_windows(benchmark, window)
     size = windows.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -79,7 +86,8 @@ def matches(
         *(F.struct(F.lit(n).alias("_length"), _hashes("_words", n).alias("_hashes")) for n in sorted(size["lengths"]) or [window])
     )
     texts = texts.select("_key", "_words", F.inline(lists))
-    probes = texts.select("_key", "_words", "_length", F.posexplode("_hashes").alias("_at", "_hash"))
+    count = F.size("_words").alias("_count")
+    probes = texts.select("_key", "_words", count, "_length", F.posexplode("_hashes").alias("_at", "_hash"))
     if max(size["rows"], size["items"]) <= max_windows and size["chars"] <= MAX_CHARS:
         found = probes.join(F.broadcast(windows.drop("_check")), ["_length", "_hash"])
         own = F.slice("_words", F.col("_at") + 1, F.col("_length"))
@@ -87,10 +95,12 @@ def matches(
         found = found.where((own <= F.col("_window")) & (own >= F.col("_window")))
     else:
         own = F.slice("_words", F.col("_at") + 1, F.col("_length"))
-        probes = probes.select("_key", "_length", "_at", "_hash", F.xxhash64(F.lit(1), own).alias("_check"))
+        probes = probes.select("_key", "_count", "_length", "_at", "_hash", F.xxhash64(F.lit(1), own).alias("_check"))
         found = probes.join(windows.drop("_window"), ["_length", "_hash", "_check"])
-    hits = found.select("_key", F.struct("_at", (F.col("_at") + F.col("_length")).alias("end")).alias("_span"), "_items")
+    span = F.struct("_at", (F.col("_at") + F.col("_length")).alias("end"))
+    hits = found.select("_key", "_count", span.alias("_span"), "_items")
     return hits.groupBy("_key").agg(
+        F.first("_count").cast("long").alias("n_words"),
         _covered(F.array_sort(F.collect_set("_span"))).alias("n_hit"),
         F.array_distinct(F.flatten(F.collect_set("_items"))).alias("_item_ids"),
     )
@@ -110,25 +120,46 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda state: state["words"])
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated."""
-    found = matches(docs, benchmark, window=window, max_windows=max_windows)
-    keyed = docs.withColumns(
+def _contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (n_hit * (100 // HIT_PERCENT) >= n_words)
+
+
+def judged(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    window: int = WINDOW,
+    max_windows: int = MAX_WINDOWS,
+    max_found: int = MAX_FOUND,
+) -> DataFrame:
+    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated.
+
+    They take the place of columns so called. ``docs`` comes straight from storage.
+    """
+    ids = F.array_sort(F.transform("_item_ids", lambda i: i.cast("string")))
+    found = matches(docs, benchmark, window=window, max_windows=max_windows).select(
+        "_key", "n_hit", F.size("_item_ids").cast("long").alias("n_items"), F.array_join(ids, ",").alias("items")
+    )
+    found = stored(found, "hits")
+    keyed = packed(docs).withColumns(
         {
-            "_key": F.sha2("text", 256),
-            "n_words": F.coalesce(F.regexp_count("text", F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long"),
+            "_key": F.sha2(F.col(ROW)["text"], 256),
+            "n_words": F.coalesce(F.regexp_count(F.col(ROW)["text"], F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long"),
         }
     )
-    ids = F.array_sort(F.transform("_item_ids", lambda i: i.cast("string")))
-    dirty = (F.col("n_hit") > 0) & (F.col("n_hit") * (100 // HIT_PERCENT) >= F.col("n_words"))
-    joined = keyed.join(found, "_key", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
-    return joined.select(
-        *docs.columns,
-        "n_words",
-        F.col("n_hit").cast("long").alias("n_hit"),
-        F.coalesce(F.size("_item_ids"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join(ids, ","), F.lit("")), 256).alias("items_sha256"),
-        dirty.alias("contaminated"),
+    if found.count() <= max_found:
+        joined = keyed.join(F.broadcast(found), "_key", "left")
+    else:
+        joined = spread_left_join(keyed, ["_key"], unique=[found])
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    return unpacked(
+        joined,
+        docs.columns,
+        n_words=F.col("n_words"),
+        n_hit=n_hit,
+        n_items=F.coalesce("n_items", F.lit(0).cast("long")),
+        items_sha256=F.sha2(F.coalesce("items", F.lit("")), 256),
+        contaminated=_contaminated(n_hit, F.col("n_words")),
     )
 
 
@@ -137,18 +168,16 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return small.drop("text")
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, max_found: int = MAX_FOUND) -> DataFrame:
     """Drop contaminated documents; the others stay as they are.
 
-    Only keys of contaminated texts meet the documents, in an anti join.
+    Keys of contaminated texts meet the documents in an anti join, as a broadcast set if they are
+    few.
     """
     text = docs.select("text").where(F.col("text").isNotNull())
-    found = matches(text, benchmark)
-    words = F.regexp_count("text", F.lit(WORD_ANY_CASE))
-    keyed = docs.withColumns({"_key": F.sha2("text", 256), "_words": words})
-    dirty = F.col("n_hit") * (100 // HIT_PERCENT) >= F.col("_words")
-    on = (keyed["_key"] == found["_key"]) & dirty
-    return keyed.join(found, on, "left_anti").select(*docs.columns)
+    found = matches(text, benchmark).where(_contaminated(F.col("n_hit"), F.col("n_words")))
+    keyed = packed(docs).withColumn("_key", F.sha2(F.col(ROW)["text"], 256))
+    return unpacked(without(keyed, found.select("_key"), "_key", max_found), docs.columns)
 
 
 ORACLE_SQL = r"""
