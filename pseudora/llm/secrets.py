@@ -1,10 +1,10 @@
-"""Secret scans through a trigram index, with DataFrame functions only.
+"""Secret scans behind a trigram filter, with DataFrame functions only.
 
 Every rule's regex yields a Boolean query over trigrams that each match must contain, without
-regard to case. The index holds one posting bit per document and trigram in use, packed into
-long columns: a column-wise posting list that stays beside the text, so intersecting lists is a
-bitwise AND in the scan and no text is shuffled. Only documents left by a rule's query are
-searched with its regex; a rule without mandatory trigrams searches all.
+regard to case. A document's row of the trigram index, one bit for each trigram in use, is made in
+the scan and evaluated there: postings that lead from trigrams to documents are not stored, as each
+text is scanned once for a fixed set of rules. Only documents left by a rule's query are searched
+with its regex; a rule without mandatory trigrams searches all. Nothing is shuffled.
 
 Defined results: a NULL or empty text has no spans; overlapping spans of different rules are all
 kept; an empty table gives no rows; repeated rows are scanned each for itself; other columns are
@@ -21,6 +21,8 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pseudora.llm.packing import ROW, unpacked
+
 _BITS = 60
 _MOST_STRINGS = 64
 
@@ -175,16 +177,25 @@ def rule_spans(rule: Rule, rank: int, text: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, *, rules=RULES, text: str = "text", name: str = "secrets") -> DataFrame:
-    """Add ``name``: array of (start, rank, end, kind), ordered by start and then rule order."""
+    """Add ``name``: array of (start, rank, end, kind), ordered by start and then rule order.
+
+    It takes the place of a column so called.
+    """
+    return unpacked(_with_spans(docs, rules, text), docs.columns, **{name: F.col("spans")})
+
+
+def _with_spans(docs: DataFrame, rules, text: str) -> DataFrame:
+    """Packed rows with their ``text`` and ``spans``."""
     trigrams = trigrams_of(rules)
     none = F.array().cast(_SPANS)
-    indexed = with_postings(docs, trigrams, text)
+    texts = docs.select(F.struct("*").alias(ROW), F.col(text).alias("text"))
+    indexed = with_postings(texts, trigrams, "text")
     found = {}
     for rank, rule in enumerate(rules):
-        query = candidate(rule, trigrams) & F.col(text).rlike(rule.regex)
-        found[f"_found{rank}"] = F.when(query, rule_spans(rule, rank, F.col(text))).otherwise(none)
+        query = candidate(rule, trigrams) & F.col("text").rlike(rule.regex)
+        found[f"_found{rank}"] = F.when(query, rule_spans(rule, rank, F.col("text"))).otherwise(none)
     spans = F.array_sort(F.concat(*(F.col(c) for c in found)))
-    return indexed.withColumns(found).select(*docs.columns, spans.alias(name))
+    return indexed.withColumns(found).select(ROW, "text", spans.alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
@@ -194,7 +205,7 @@ def span_text(spans: Column) -> Column:
 
 def redact_secrets(docs: DataFrame, *, rules=RULES, mark: str = "[SECRET]") -> DataFrame:
     """Replace every span in ``text`` by ``mark``; other documents stay as they are."""
-    found = find_secrets(docs, rules=rules, name="_spans")
+    found = _with_spans(docs, rules, "text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state, span):
@@ -206,10 +217,9 @@ def redact_secrets(docs: DataFrame, *, rules=RULES, mark: str = "[SECRET]") -> D
         return F.struct(F.greatest(span["end"], state["at"]).alias("at"), out.alias("out"))
 
     clean = F.aggregate(
-        F.col("_spans"), start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1))
+        F.col("spans"), start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1))
     )
-    text = F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    return unpacked(found, docs.columns, text=F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
