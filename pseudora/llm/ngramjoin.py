@@ -36,6 +36,7 @@ from pyspark.sql.window import Window
 
 from pseudora.llm import textvec
 from pseudora.llm.components import connected
+from pseudora.llm.packing import ROW, packed, unpacked, without
 from pseudora.llm.store import dropped, stored
 
 SIZE, PERCENT = 3, 90
@@ -326,15 +327,20 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     """Keep one row of each component, that with the smallest id, rows with NULL ids last.
 
     Components are those of rows, numbered in a stored copy: ids may be NULL, repeated or have
-    unrelated texts. Rows without words are linked with nothing, so all of them stay.
+    unrelated texts. Rows without words are linked with nothing, so all of them stay. Texts are not
+    shuffled so long as the numbers of the rows that go are few enough to be broadcast.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows-in")
-    found = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), **parameters)
-    found = found.select(F.col("doc_id").alias("_row"), "component_id")
-    ids = rows.select("_row", "doc_id").join(found, "_row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
-    kept = ids.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows = stored(packed(docs).withColumn("number", F.monotonically_increasing_id()), "rows-in")
+    texts = rows.select(F.col("number").alias("doc_id"), F.col(ROW)["text"].alias("text"))
+    found = jaccard_components(texts, **parameters)
+    found = found.select(F.col("doc_id").alias("number"), "component_id")
+    ids = rows.select("number", F.col(ROW)["doc_id"].alias("doc_id")).join(found, "number")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "number")).alias("first")
+    kept = ids.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("members"))
+    # Only rows of components with others go.
+    several = kept.where("members > 1").select("component_id", F.col("first.number").alias("kept"))
+    gone = ids.join(several, "component_id").where("number <> kept").select("number")
+    return unpacked(without(rows, gone, "number"), docs.columns)
 
 
 ORACLE_SQL = r"""
