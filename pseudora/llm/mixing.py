@@ -6,8 +6,9 @@ passes over its documents in a seeded order, into equal blocks. Seats: the Saint
 gives sources, then the shards of each source, integer numbers of blocks in proportion to their
 targets. Selection: each cell takes its quota of blocks, spread evenly from a seeded start.
 
-Cells are cut by a hash of the document id, so a source that holds a third of all rows is worked
-on by as many tasks as its words need; only ids and sizes are ever shuffled, never texts.
+Cells are cut by a hash of id and text, so a source that holds a third of all rows is worked on by
+as many tasks as its words need, whatever ids its rows have; rows that repeat both very often are
+dealt by their number in the stored sizes. Only ids, sizes and hashes are shuffled, never texts.
 
 Defined results: a NULL text has size 0 and gives nothing; a NULL source is a source of its own,
 ordered last; an empty table gives no rows; repeated rows are mixed each for itself; a source of
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pseudora.llm.store import shuffle_width, stored
+from pseudora.plans.skew import count_keys
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2
 BLOCK_TOKENS = 64
 SHARD_TOKENS = 2_000_000
+HOT_ROWS = 10_000  # rows alike beyond this are dealt by their number
 WORD = r"[^\x20\x09-\x0D]+"
 _GRID = 32
 
@@ -161,9 +164,10 @@ def mix_sources(
     seed: int = 7,
 ) -> DataFrame:
     """(doc_id, size, source_size, target, taken, source, shard) for every row of ``docs``."""
-    sized = stored(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes"
-    )
+    alike = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("alike")
+    size = word_count(F.col("text")).alias("size")
+    sized = docs.select("doc_id", "source", size, alike, F.monotonically_increasing_id().alias("number"))
+    sized = stored(sized, "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     listed = ranked(totals, [F.asc_nulls_last("source")], "position")
     sources = stored(
@@ -172,11 +176,15 @@ def mix_sources(
     words = sources.agg(F.sum("source_size")).first()[0] or 0
     shards = max(1, -(-words // shard_tokens))
 
-    shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(shards)).cast("int")
+    (often,) = count_keys([sized.select("alike")]) if shards > 1 else ({},)
+    hot = [key for key, rows in sorted(often.items()) if rows > HOT_ROWS]
+    dealt_by = F.when(F.col("alike").isin(hot), F.xxhash64("alike", "number")).otherwise(F.col("alike"))
+    shard = F.pmod(dealt_by, F.lit(shards)).cast("int")
     dealt = sized.join(
         sources.select(F.col("source").alias("_source"), "position", "source_size", "target"),
         F.col("source").eqNullSafe(F.col("_source")),
-    ).select("doc_id", "source", "size", "position", "source_size", "target", shard.alias("shard"))
+    )
+    dealt = dealt.select("doc_id", "source", "size", "alike", "position", "source_size", "target", shard.alias("shard"))
 
     cells = stored(
         dealt.groupBy("position", "shard")
@@ -205,7 +213,7 @@ def mix_sources(
 
     # Both sides are small rows; a document's place in its cell is a running sum of sizes.
     order = Window.partitionBy("position", "shard").orderBy(
-        F.xxhash64(F.lit(seed + 1), F.col("doc_id")), "doc_id", "size"
+        F.xxhash64(F.lit(seed + 1), F.col("alike")), "doc_id", "alike", "size"
     )
     run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumn("_end", F.sum("size").over(run))
