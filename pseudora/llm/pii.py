@@ -29,7 +29,7 @@ that are believed; a longer word may be found around a number that is found too.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,12 +42,12 @@ from pseudora.llm.store import dropped, stored
 KINDS = ("email", "ip", "card", "phone", "found")
 ROUNDS, BELIEVED, PRIOR, LEAST_SEEDS = 3, 0.6, 2.0, 3
 CANDIDATE_DIGITS = 5
-BROADCAST_PATTERNS = 100_000
+BROADCAST_PATTERNS, BROADCAST_CHARS = 100_000, 16_000_000
 
 # The base patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a run of digits is tried once
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-")
@@ -124,15 +124,34 @@ def _before(tokens: tuple[list[str], list[int]], start: int) -> str:
     return " ".join(words[max(0, last - 2) : last])
 
 
+class _Cover:
+    """The union of spans, asked by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        """Whether a place from ``start`` to ``end`` is covered; ``end`` is exclusive."""
+        last = bisect_left(self.starts, end)
+        return last > 0 and self.ends[last - 1] > start
+
+
 def _runs(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
     """Whole runs of letters, digits and hyphens that hold a digit and that no base span touches."""
-    done = 0
+    done, cover = 0, _Cover([(start, end) for _, start, end in taken])
     for match in _FROM_DIGIT.finditer(text):
         a, b = match.span()
         while a > done and text[a - 1] in _RUN:
             a -= 1
         done = b
-        if all(b <= start or a >= end for _, start, end in taken):
+        if not cover.touches(a, b):
             yield a, b
 
 
@@ -221,14 +240,15 @@ def _following(good):
             runs = enumerate(map(" ".join, zip(words, words[1:], strict=False)), 1)
             hits = [(at, pattern) for at, pattern in runs if only is None or pattern in only]
             base = base_spans(text) if hits else []
-            taken = [(a, b) for a, b, *_ in candidates(text, base)] if hits else []
+            found_before = _Cover([(a, b) for a, b, *_ in candidates(text, base)] if hits else [])
+            cover = _Cover([(a, b) for _, a, b in base])
             found = []
             for at, pattern in hits:
                 core = _NEXT.match(text, ends[at])
                 if core is None or _before(tokens, core.start(1)) != pattern:
                     continue
                 a, b = core.start(1), _until(text, core)
-                if all(b <= start or a >= end for _, start, end in base) and not any(s <= a < e for s, e in taken):
+                if not cover.touches(a, b) and not found_before.touches(a, a + 1):
                     found.append((a, b, pattern, text[a:b]))
             rows.append(found)
         return pd.Series(rows)
@@ -256,9 +276,12 @@ def _standing(wanted):
 
 
 def _shared(df: DataFrame, name: str, most: int):
-    """The values of a column as a broadcast set, or None if there are more than ``most``."""
-    few = df.select(name).limit(most + 1).collect()
-    return df.sparkSession.sparkContext.broadcast({r[name] for r in few}) if len(few) <= most else None
+    """The values of a column as a broadcast set, or None if there are too many or they are too long."""
+    chars = F.coalesce(F.sum(F.length(name)), F.lit(0)).alias("chars")
+    size = df.agg(F.count(F.lit(1)).alias("rows"), chars).first()
+    if size["rows"] > most or size["chars"] > BROADCAST_CHARS:
+        return None
+    return df.sparkSession.sparkContext.broadcast({row[name] for row in df.select(name).collect()})
 
 
 def followers(docs: DataFrame, scores: DataFrame, most: int = BROADCAST_PATTERNS) -> DataFrame:
@@ -269,7 +292,9 @@ def followers(docs: DataFrame, scores: DataFrame, most: int = BROADCAST_PATTERNS
     if patterns is None:
         spans = spans.join(good, "pattern", "left_semi")
     spans = stored(spans, "followers")
-    hits = spans.groupBy("value").agg(F.count(F.lit(1)).alias("hits"))
+    if patterns is not None:
+        patterns.unpersist()
+    hits = stored(spans.groupBy("value").agg(F.count(F.lit(1)).alias("hits")), "hits")
     values = _shared(hits, "value", most)
     counted = docs.select("text").mapInPandas(_standing(values), "value string, n long")
     if values is None:
