@@ -76,12 +76,13 @@ def with_rule(df: DataFrame, rules: Sequence[UrlRule] = RULES) -> DataFrame:
 
 def _part_grams(part: str, size: int, buckets: int) -> Column:
     """Buckets of the ``size``-grams of one marked part; ``part`` salts the hash."""
-    marked = F.concat(F.lit("^"), F.col(part), F.lit("$"))
-    count = F.length(marked) - size + 1
+    # Split once: a piece by its place in the text would be looked for from the start each time.
+    marked = F.split(F.concat(F.lit("^"), F.col(part), F.lit("$")), "")
+    count = F.size(marked) - size + 1
     starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
     def bucket(at: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(part), F.substr(marked, at, F.lit(size))), F.lit(buckets)).cast("int")
+        return F.pmod(F.xxhash64(F.lit(part), F.array_join(F.slice(marked, at, F.lit(size)), "")), F.lit(buckets)).cast("int")
 
     return F.transform(starts, bucket)
 
