@@ -58,7 +58,7 @@ def with_tool_parts(conversations: DataFrame) -> DataFrame:
     References go back half the way, so chains grow with the logarithm of a conversation's length.
     """
     text, turn = F.col("text"), F.col("turn")
-    about = F.translate(F.substring(text, 1, 40), "<>$", "")
+    about = F.translate(text, "<>$", "")
     back = (turn - 2 * F.ceil(turn / 4)).cast("long")
     given = F.when(turn >= 2, F.concat(F.lit("$t"), back)).otherwise(about)
     kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
