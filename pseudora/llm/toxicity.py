@@ -253,10 +253,14 @@ def _middle(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, limit: int = TRAIN_DOCS) -> WordModel:
-    """Fit on at most ``limit`` labelled documents; words and margins reach the driver."""
+    """Fit on at most ``limit`` labelled documents; words and margins reach the driver.
+
+    Of rows that repeat an id one is taken, that with the smallest text.
+    """
     nothing = WordModel(np.zeros(LETTERS**ORDER), LOWEST)
     ids = F.broadcast(labelled_sample(labels, "toxic", limit))
-    sample = stored(docs.select("doc_id", "text").join(ids, "doc_id"), "sample")
+    sample = docs.select("doc_id", "text").join(ids, "doc_id")
+    sample = stored(sample.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "sample")
     words = sample_words(sample)
     counts = stored(
         words.groupBy("word").agg(
