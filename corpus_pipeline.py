@@ -3,7 +3,7 @@
 Every stage takes all documents that the one before kept and returns them with the columns of
 ``documents``; the last returns one row per document with the words that the mix takes of it.
 Stages are written to the shared folder and read again, so a lost executor costs one stage at most.
-An empty table passes through; extra columns of the documents are kept.
+An empty table passes through; extra columns of the documents are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,7 +52,8 @@ STAGES = [
     ("mixing sources to target weights", mixed),
 ]
 
-#: The first stage is a fitted classifier, which SQL cannot express; a test compares with brute force.
+#: The first stage is a fitted classifier, which SQL cannot express. Tests compare what the second and third
+#: stage keep with brute force, and the whole run with the stages' reports.
 ORACLE_SQL = None
 
 

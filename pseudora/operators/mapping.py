@@ -64,13 +64,16 @@ def _known(rows: int, rows_per_task: int) -> KeyCounts | None:
     return {} if rows <= rows_per_task else None
 
 
-def _contained(long: DataFrame, short: DataFrame, long_grams: int, short_rows: int, rows_per_task: int) -> DataFrame:
-    """(name, term) where the text of ``long`` contains that of ``short``.
+def anchored(
+    long: DataFrame, short: DataFrame, long_grams: int, short_rows: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Pairs of texts of which that of ``long`` may contain that of ``short``.
 
     Pieces of all sizes are counted over ``long``. A contained text is anchored by its piece that
     fewest of these texts hold, so it meets no more of them than that; a text with a piece that none
-    holds is contained in none. What meets is verified. The rows of a text grow in proportion to its
-    length, and pieces that many texts share or are anchored by are cut.
+    holds is contained in none. The rows of a text grow in proportion to its length, and pieces that
+    many texts share or are anchored by are cut. ``long_grams`` and ``short_rows`` bound the rows of
+    both sides.
     """
     outer, inner = long.columns[0], short.columns[0]
     pieces = F.when(F.length(inner) < SHORT, F.array(F.col(inner))).otherwise(naming.grams(inner, GRAM_SIZES))
@@ -91,7 +94,7 @@ def _contained(long: DataFrame, short: DataFrame, long_grams: int, short_rows: i
         left_counts=of_short,
         many_counts=of_long,
     )
-    return met.where(F.col(outer).contains(F.col(inner))).select("name", "term")
+    return met.where(F.col(outer).isNotNull()).select(outer, inner)
 
 
 def containing_pairs(
@@ -110,9 +113,9 @@ def containing_pairs(
     def pieces(size: tuple[int, int]) -> int:
         return len(HELD_SIZES) * (size[0] + size[1])
 
-    there = _contained(names, terms, pieces(name_size), term_size[0], rows_per_task)
-    back = _contained(terms, names, pieces(term_size), name_size[0], rows_per_task)
-    return there.union(back).distinct()
+    there = anchored(names, terms, pieces(name_size), term_size[0], rows_per_task).where("contains(name, term)")
+    back = anchored(terms, names, pieces(term_size), name_size[0], rows_per_task).where("contains(term, name)")
+    return there.select("name", "term").union(back.select("name", "term")).distinct()
 
 
 def _contains(a: Column, b: Column) -> Column:

@@ -198,6 +198,35 @@ def brute_force_candidates(profiles, concepts):
     )
 
 
+def texts_of(spark, values, name):
+    return spark.createDataFrame([(v,) for v in sorted(set(values))], f"{name} string")
+
+
+@pytest.mark.parametrize("rows_per_task", [5, 10**6])
+def test_containing_pairs_equal_plain_search(spark, rows_per_task):
+    chance = random.Random(9)
+    words = ["", "a", "ab", "abc", "_", "cust", "customer_id", "customer", "mail", "e_mail_address", "x" * 30, "x" * 17]
+    words += ["".join(chance.choices("ab_", k=chance.randint(1, 9))) for _ in range(80)]
+    words += [chance.choice(words) + "_" + chance.choice(words) for _ in range(60)]
+    names, terms = {w for w in words if chance.random() < 0.7}, {w for w in words if chance.random() < 0.7}
+    size = (10**6, 10**7) if rows_per_task == 5 else (200, 4000)
+    got = mapping.containing_pairs(
+        texts_of(spark, names, "name"), texts_of(spark, terms, "term"),
+        name_size=size, term_size=size, rows_per_task=rows_per_task,
+    )
+    assert sorted(map(tuple, got.collect())) == sorted((n, t) for n in names for t in terms if n in t or t in n)
+
+
+def test_texts_with_a_common_start_meet_by_what_is_rare_in_them(spark):
+    """4,000 names and 400 terms that all start alike: candidates grow with the matches."""
+    names = [f"cust{k:05}_{k % 7}" for k in range(4000)]
+    terms = [f"cust{k:05}" for k in range(0, 4000, 10)]
+    met = mapping.anchored(texts_of(spark, names, "name"), texts_of(spark, terms, "term"), 10**6, 10**4)
+    candidates, matches = met.count(), met.where("contains(name, term)").count()
+    assert matches == 400 and candidates <= 2 * matches
+
+
+
 def test_candidates_equal_the_full_comparison(metadata):
     got = mapping.build_semantic_mapping_candidates(*metadata, batch_id="b", run_ts=TS)
     want = brute_force_candidates(*metadata)
