@@ -130,3 +130,23 @@ def test_empty_tables(spark, documents):
         assert report(documents([]), none).count() == 0
         row = report(documents([(1, "some text")]), none).first()
         assert 0 <= row["score"] <= 1 and row["held_out"] == (zlib.crc32(b"1") % 5 == 0)
+
+
+@pytest.mark.parametrize("texts", [[f"word{k} and some more" for k in range(6)], ["the same text"] * 200])
+def test_nothing_to_split(spark, documents, texts):
+    """Both labels, yet no tree finds a split: the share of good documents is every score."""
+    docs = documents([(k, text) for k, text in enumerate(texts)])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(len(texts))], LABELS)
+    found = quality.quality_report(docs, labels).collect()
+    assert len(found) == len(texts) and len({r["score"] for r in found}) == 1
+    assert 0 < found[0]["score"] < 1
+
+
+def test_an_id_on_very_many_rows_reaches_the_driver_once(spark, documents, monkeypatch):
+    rows = [(1, f"text number {k}") for k in range(20_000)] + [(k, "another " * k) for k in range(2, 40)]
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(40)], LABELS)
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(y)) or fit(x, y))
+    quality.train(documents(rows), labels)
+    ids = [k for k in range(1, 40) if zlib.crc32(str(k).encode()) % 5]
+    assert seen == [len(ids)]

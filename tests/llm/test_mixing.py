@@ -96,3 +96,31 @@ def test_seats_of_all_rows_need_no_common_task(spark, documents, prose, monkeypa
     rows = [(k, prose(9), f"s{k}") for k in range(40)]
     assert mixing.mix_sources(documents(rows)).count() == 40
     assert groups == [[], ["position"]]
+
+
+def test_rows_without_or_with_equal_ids_are_dealt_to_all_shards(documents, prose, monkeypatch):
+    texts = [prose(20) for _ in range(600)]
+    for ids in ([None] * 600, [7] * 600):
+        found = mixing.mix_sources(documents(list(zip(ids, texts, strict=True))), shard_tokens=1000).collect()
+        shards = [r["shard"] for r in found]
+        assert len(set(shards)) == 12 and max(map(shards.count, set(shards))) < 120
+    monkeypatch.setattr(mixing, "HOT_ROWS", 50)  # rows alike in id and text, too
+    found = mixing.mix_sources(documents([(None, texts[0])] * 600), shard_tokens=1000).collect()
+    assert len({r["shard"] for r in found}) == 12
+    assert abs(sum(r["taken"] for r in found) - found[0]["target"]) <= 12 * mixing.BLOCK_TOKENS
+
+
+def test_sizes_and_targets_in_sql(spark, documents, corpus):
+    """Size, source size and an unstopped target, by an independent engine."""
+    import duckdb
+
+    found = mixing.mix_sources(documents(corpus)).toPandas()
+    docs = documents(corpus).toPandas()
+    con = duckdb.connect()
+    con.register("documents", docs)
+    want = con.execute(
+        r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents)
+        SELECT doc_id, size, sum(size) OVER (PARTITION BY source) AS source_size FROM d ORDER BY doc_id"""
+    ).fetchall()
+    got = found.sort_values("doc_id")[["doc_id", "size", "source_size"]]
+    assert [tuple(map(int, row)) for row in got.to_numpy()] == [tuple(map(int, row)) for row in want]

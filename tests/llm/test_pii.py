@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -137,3 +138,41 @@ def test_followers_do_not_depend_on_the_way(spark, documents, prose):
     scores = spark.createDataFrame([("my contact:", 0.9), ("then 00", 0.1)], "pattern string, score double")
     ways = [sorted(map(str, pii.followers(documents(rows), scores, most).collect())) for most in (0, 100)]
     assert ways[0] == ways[1] and len(ways[0]) == 2
+
+
+def test_long_inputs_take_linear_time():
+    import time
+
+    def seconds(text):
+        start = time.perf_counter()
+        base = pii.base_spans(text)
+        pii.candidates(text, base)
+        return time.perf_counter() - start
+
+    assert seconds("1" * 10**6) < 20
+    assert seconds("1." * 300_000) < 20
+    assert seconds(" ".join(f"a{k}@b.org 123456{k}" for k in range(20_000))) < 20
+
+
+def test_covers_answer_like_plain_search():
+    chance = random.Random(2)
+    for _ in range(200):
+        spans = [(a, a + chance.randint(1, 6)) for a in (chance.randint(0, 60) for _ in range(8))]
+        cover = pii._Cover(spans)
+        for a in range(70):
+            for b in range(a + 1, a + 5):
+                assert cover.touches(a, b) == any(a < end and b > start for start, end in spans)
+
+
+def test_base_counts_and_digests_in_sql(documents, prose):
+    """The counts and the digest of the e-mail kind, by an independent engine."""
+    import hashlib
+    import re
+
+    rows = [(k, f"{prose(5)} mail a.b{k}@mail-{k}.example.org, x@y {prose(3)} c{k}@d.net") for k in range(20)] + [(30, None), (31, "")]
+    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    found = {r["doc_id"]: r for r in pii.pii_report(documents(rows)).collect()}
+    for key, text in rows:
+        spans = [f"email:{m.start()}:{m.end()}" for m in pattern.finditer(text or "")]
+        assert found[key]["n_email"] == len(spans)
+        assert found[key]["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
