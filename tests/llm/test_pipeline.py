@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 
 import corpus_pipeline
 from pyspark.sql import functions as F
@@ -52,6 +54,68 @@ def test_every_stage_takes_effect_on_what_the_one_before_kept(spark, documents,
     assert 100 < len(want) < 200 and [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier"
 
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text):
+    words = WORD.findall(lower(text))
+    return {tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))} if words else set()
+
+
+def one_of_each(rows):
+    """Rows that stay when each group of near copies keeps that with the smallest id, NULL last."""
+    sets, root = [shingles(text) for _, text in rows], list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(find(k), []).append(k)
+    return [min(g, key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)) for g in groups.values()]
+
+
+def contaminated(text, items):
+    words, hit, windows = PLAIN.findall(lower(text)), set(), set()
+    for item in items:
+        w = PLAIN.findall(lower(item))
+        n = min(13, len(w))
+        windows |= {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+    for window in windows:
+        for k in range(len(words) - len(window) + 1):
+            if tuple(words[k : k + len(window)]) == window:
+                hit |= set(range(k, k + len(window)))
+    return bool(hit) and 20 * len(hit) >= len(words)
+
+
+def test_stages_against_brute_force(spark, documents, prose, tmp_path):
+    """What the second and third stage keep, ids NULL, repeated and with unrelated texts among them."""
+    folder = str(tmp_path)
+    rows = [(d, text) for d, text, _ in tables(spark, documents, prose, folder)]
+    extra = [(None, rows[3][1]), (None, "only one without an id " * 9), (None, None), (5, rows[40][1]), (5, rows[5][1]), (7, "  ")]
+    docs = documents(rows + extra)
+    docs.write.parquet(f"{folder}/all.parquet")
+    docs = spark.read.parquet(f"{folder}/all.parquet")
+    kept = corpus_pipeline.distinct(spark, docs, folder).select("doc_id", "text").collect()
+    plain = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = [plain[k] for k in one_of_each(plain)]
+    assert Counter((d, lower(t)) for d, t in kept) == Counter((d, lower(t)) for d, t in want)
+    items = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    clean = corpus_pipeline.decontaminated(spark, docs, folder).select("doc_id", "text").collect()
+    assert Counter(map(tuple, clean)) == Counter(r for r in plain if not contaminated(r[1], items))
+
+
 def test_stages_keep_the_columns(spark, documents, prose, tmp_path):
     folder = str(tmp_path)
     tables(spark, documents, prose, folder)
