@@ -116,6 +116,15 @@ def test_stages_against_brute_force(spark, documents, prose, tmp_path):
     assert Counter(map(tuple, clean)) == Counter(r for r in plain if not contaminated(r[1], items))
 
 
+def test_empty_tables_pass_through(spark, documents, prose, tmp_path):
+    folder = str(tmp_path)
+    tables(spark, documents, prose, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs_after = stage(spark, docs, folder)
+        assert docs_after.count() == 0
+
+
 def test_stages_keep_the_columns(spark, documents, prose, tmp_path):
     folder = str(tmp_path)
     tables(spark, documents, prose, folder)
