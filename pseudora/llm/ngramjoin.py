@@ -8,12 +8,17 @@ Links are pairs of sets with 100 * |A & B| >= percent * |A | B|.
    entirely; each set emits one key per group it has n-grams in (and, if more than one of its
    groups is empty, keys for those too), so linked sets always share a key. A shared passage does
    not make a shared key: whole groups must agree.
-3. Sets that share keys, directly or through others, form a block. Blocks are small; a large one is
-   cut by size band and hash into leaves, and leaf pairs into cells, each of bounded size.
+3. Sets that share keys, directly or through others, form a block, nearly always a small one: one
+   cell. In a large one, such as a family of texts from one template, each set is first verified
+   against the smallest set it shares a key with, in star cells that hold that one and a bounded
+   number of others. Sets linked so are one part; a block that is one part is done, each set having
+   moved once. Otherwise blocks are cut by part, size band and hash into leaves, and leaf pairs into
+   cells of bounded size; leaves of the same part never meet.
 4. In a cell, n-grams are hashed into ``GROUPS`` groups and the counts indexed as points in an
    R-tree. The overlap of two boxes is at most the sum over groups of the smaller upper bound;
    pairs of boxes, then of points, that cannot reach the needed overlap are pruned, and the rest
-   are verified on the full sets. Pairs already in one component are not verified again.
+   are verified on the full sets. Pairs already in one component are not verified again. An n-gram
+   is its 64-bit hash: among sets of 10^5 n-grams two different ones agree with odds of about 10^-9.
 5. Cells yield spanning links, whose connected components are the result. No pair is lost, none
    emitted but spanning links.
 
@@ -32,7 +37,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pseudora.llm import textvec
 from pseudora.llm.components import connected
@@ -165,13 +169,15 @@ class _Tree:
 class CellJoin:
     """All links of one cell up to connectivity."""
 
-    def __init__(self, grams: list[np.ndarray], leaves: np.ndarray, percent: int):
+    def __init__(self, grams: list[np.ndarray], leaves: np.ndarray, parts: np.ndarray, percent: int):
         self.grams, self.leaves, self.percent = grams, leaves, percent
         self.sizes = np.array([len(g) for g in grams], dtype=np.int64)
         self.points = np.stack(
             [np.bincount(((g >> _HALF) * _U(GROUPS) >> _HALF).astype(np.int64), minlength=GROUPS) for g in grams]
         ).astype(np.int32)
-        self.parent = list(range(len(grams)))
+        # Sets of one part are in one component from the start.
+        _, first, part = np.unique(parts, return_index=True, return_inverse=True)
+        self.parent = first[part.ravel()].tolist()
         self.links: list[tuple[int, int]] = []
 
     def root(self, k: int) -> int:
@@ -230,41 +236,61 @@ def _join_cell(percent: int):
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         ids = cell["doc_id"].to_numpy(dtype=np.int64)
         grams = [np.asarray(g, dtype=np.int64).view(np.uint64) for g in cell["grams"]]
-        links = CellJoin(grams, cell["leaf"].to_numpy(), percent).run() if len(ids) > 1 else []
+        leaves, parts = cell["leaf"].to_numpy(), cell["part"].to_numpy()
+        links = CellJoin(grams, leaves, parts, percent).run() if len(ids) > 1 else []
         at = np.array(links, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"u": ids[at[:, 0]], "v": ids[at[:, 1]]})
 
     return run
 
 
-def _cells(members: DataFrame, percent: int, cell_docs: int, cell_grams: int) -> DataFrame:
-    """(doc_id, f1, cell, leaf): every two members of a block that may link meet in one cell."""
-    stats = members.groupBy("block").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_grams"))
-    large = (F.col("docs") > cell_docs) | (F.col("all_grams") > cell_grams)
-    sized = members.join(stats.select("block", large.alias("large")), "block")
+def _pieces(cell_docs: int, cell_grams: int) -> Column:
+    """Pieces of which any two fit in a cell, for an aggregate over members."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) * 2 / cell_docs, F.sum("n") * 2 / cell_grams)).cast("int")
+
+
+def _star_cells(members: DataFrame, near: DataFrame, cell_docs: int, cell_grams: int) -> DataFrame:
+    """(doc_id, f1, part, cell, leaf): each member with the smallest set that it shares a key with."""
+    hubs = near.groupBy(F.col("u").alias("doc_id")).agg(F.min("v").alias("hub"))
+    spokes = members.join(hubs, "doc_id")
+    chunks = spokes.groupBy("hub").agg(_pieces(cell_docs, cell_grams).alias("chunks"))
+    several = chunks.where("chunks > 1")  # no more of them than members by the half of a cell
+    chunk = F.pmod(F.xxhash64("doc_id"), F.coalesce("chunks", F.lit(1))).cast("int")
+    met = spokes.join(several, "hub", "left").withColumn("chunk", chunk)
+    outer = met.select("doc_id", "f1", F.concat_ws(":", F.lit("star"), "hub", "chunk").alias("cell"), F.lit(1).alias("leaf"))
+    middle = chunks.join(members.select(F.col("doc_id").alias("hub"), "f1"), "hub")
+    middle = middle.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    middle = middle.select(
+        F.col("hub").alias("doc_id"), "f1", F.concat_ws(":", F.lit("star"), "hub", "chunk").alias("cell"), F.lit(0).alias("leaf")
+    )
+    return outer.union(middle).withColumn("part", F.col("doc_id"))
+
+
+def _cut_cells(members: DataFrame, percent: int, cell_docs: int, cell_grams: int) -> DataFrame:
+    """(doc_id, f1, part, cell, leaf): every two members of a block, but of one large part, meet in one cell."""
     # Sizes in the same or a neighbouring band; the factor makes up for rounding.
     ratio = float(np.log(100 / percent) * (1 + 1e-9))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio))
-    sized = sized.withColumn("band", F.when(F.col("large"), band).otherwise(F.lit(0)).cast("long"))
-    whole = sized.where(~F.col("large")).select(
-        "doc_id", "f1", F.col("block").cast("string").alias("cell"), F.lit(0).alias("leaf")
-    )
-    cut = sized.where("large")
-    leaves = cut.groupBy("block", "band").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) * 2 / cell_docs, F.sum("n") * 2 / cell_grams)).cast("int").alias("leaves")
-    )
-    own = cut.join(leaves, ["block", "band"]).withColumn(
+    sized = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)).cast("long"))
+    # Parts that fill leaves have their own; those below share leaves, tagged by no id.
+    parts = sized.groupBy("block", "part").agg(_pieces(cell_docs, cell_grams).alias("pieces"))
+    parts = parts.where("pieces > 1").select("block", "part", F.col("part").alias("tag"))
+    sized = sized.join(parts, ["block", "part"], "left").withColumn("tag", F.coalesce(F.col("tag").cast("string"), F.lit("")))
+    leaves = sized.groupBy("block", "band", "tag").agg(_pieces(cell_docs, cell_grams).alias("leaves"))
+    own = sized.join(leaves, ["block", "band", "tag"]).withColumn(
         "mine", F.pmod(F.xxhash64("doc_id"), F.col("leaves")).cast("int")
     )
     near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
-    others = leaves.select("block", F.col("band").alias("other"), F.col("leaves").alias("other_leaves"))
+    others = leaves.select(
+        "block", F.col("band").alias("other"), F.col("tag").alias("other_tag"), F.col("leaves").alias("other_leaves")
+    )
     met = own.withColumn("other", near).join(others, ["block", "other"])
+    met = met.where((F.col("tag") == "") | (F.col("tag") != F.col("other_tag")))
     met = met.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("other_leaves") - 1)))
-    here = F.struct(F.col("band").alias("b"), F.col("mine").alias("l"))
-    there = F.struct(F.col("other").alias("b"), F.col("theirs").alias("l"))
+    here = F.struct(F.col("band").alias("b"), F.col("tag").alias("t"), F.col("mine").alias("l"))
+    there = F.struct(F.col("other").alias("b"), F.col("other_tag").alias("t"), F.col("theirs").alias("l"))
     first, last = F.least(here, there), F.greatest(here, there)
-    cell = F.concat_ws(":", "block", first["b"], first["l"], last["b"], last["l"])
-    return whole.union(met.select("doc_id", "f1", cell.alias("cell"), F.when(here == first, 0).otherwise(1).alias("leaf")))
+    cell = F.concat_ws(":", "block", *(end[field] for end in (first, last) for field in "btl"))
+    return met.select("doc_id", "f1", cell.alias("cell"), F.when(here == first, 0).otherwise(1).alias("leaf"), "part")
 
 
 def _sets_of_members(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
@@ -295,18 +321,40 @@ def jaccard_components(
     ids = described.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(ids.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "classes")
 
-    # Members of a tile are linked to its first one; a running first value needs no buffer.
-    tiles = Window.partitionBy("key").orderBy("rep")
-    shared = classes.select("rep", F.explode("keys").alias("key")).withColumn("first", F.first("rep").over(tiles))
-    near = shared.where("first < rep").select(F.col("rep").alias("u"), F.col("first").alias("v"))
+    # Members of a tile are linked to its first one. Keys of one class alone, nearly all, stay behind.
+    shared = classes.select("rep", F.explode("keys").alias("key"))
+    firsts = shared.groupBy("key").agg(F.min("rep").alias("v"), F.max("rep").alias("last"))
+    firsts = firsts.where("v < last").select("key", "v")
+    near = shared.join(firsts, "key").where("v < rep").select(F.col("rep").alias("u"), "v").distinct()
+    near = stored(near, "near")
     blocks = connected(near)
     members = blocks.select(F.col("node").alias("doc_id"), F.col("component").alias("block")).join(
         classes.select(F.col("rep").alias("doc_id"), *same), "doc_id"
     )
-    members = stored(members, "members")
-    cells = _cells(members, percent, cell_docs, cell_grams)
-    sets = _sets_of_members(plain, members, size)
-    links = cells.join(sets, ["doc_id", "f1"]).groupBy("cell").applyInPandas(_join_cell(percent), "u long, v long")
+    members = stored(members.withColumn("part", F.col("doc_id")), "members")
+
+    def joined(cells: DataFrame, held: DataFrame) -> DataFrame:
+        met = cells.join(_sets_of_members(plain, held, size), ["doc_id", "f1"])
+        return met.groupBy("cell").applyInPandas(_join_cell(percent), "u long, v long")
+
+    large = members.groupBy("block").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams"))
+    large = stored(large.where((F.col("docs") > cell_docs) | (F.col("grams") > cell_grams)).select("block"), "large")
+    open_members = members.join(large, "block", "left_anti")
+    cells = open_members.select("doc_id", "f1", F.col("block").cast("string").alias("cell"), F.lit(0).alias("leaf"), "part")
+    stars = None
+    if large.limit(1).count():
+        cut = stored(members.join(large, "block", "left_semi"), "cut")
+        stars = stored(joined(_star_cells(cut, near, cell_docs, cell_grams), cut), "stars")
+        parts = connected(stars).select(F.col("node").alias("doc_id"), F.col("component").alias("above"))
+        cut = cut.join(parts, "doc_id", "left").withColumn("part", F.coalesce("above", "doc_id")).drop("above")
+        cut = stored(cut, "parts")
+        several = cut.groupBy("block").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
+        rest = stored(cut.join(several.select("block"), "block", "left_semi"), "rest")
+        cells = cells.unionByName(_cut_cells(rest, percent, cell_docs, cell_grams))
+        open_members = open_members.unionByName(rest)
+    links = joined(cells, open_members)
+    if stars is not None:
+        links = links.union(stars)
 
     rows = described.select("doc_id", *same).join(classes.select(*same, "rep"), same, "left")
     rows = stored(rows, "rows")

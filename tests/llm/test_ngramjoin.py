@@ -136,3 +136,53 @@ def test_keep_one_decides_by_rows(documents, prose):
     assert only[2] in (a, a + " x")
     assert kept[:-1] == sorted([(False, 7, b), (False, 3, c), (False, 9, d)])
     assert ngramjoin.keep_one(documents(rows)).where("coalesce(text, '') = ''").count() == 3
+
+
+def test_a_template_family_is_shipped_once(spark, documents, prose, monkeypatch):
+    """A large block of one part is done after its star; stragglers meet the others in linear many cells."""
+    chance = random.Random(4)
+
+    def family(template, count, first):
+        rows = []
+        for k in range(count):
+            words = template.split()
+            words[chance.randrange(len(words))] = f"w{first + k}"
+            rows.append((first + k, " ".join(words)))
+        return rows
+
+    seen = []
+    cut_cells, star_cells = ngramjoin._cut_cells, ngramjoin._star_cells
+
+    def spied(function, at):
+        def run(members, *arguments):
+            cells = function(members, *arguments)
+            seen.append((at, members.count(), cells.count()))
+            return cells
+
+        return run
+
+    monkeypatch.setattr(ngramjoin, "_cut_cells", spied(cut_cells, "cut"))
+    monkeypatch.setattr(ngramjoin, "_star_cells", spied(star_cells, "star"))
+    rows = family(prose(150), 400, 0)
+    found = ngramjoin.jaccard_components(documents(rows), cell_docs=20)
+    assert {c for _, _, c in result(found)} == {0}
+    (_, members, shipped), (_, rest, _) = seen
+    assert members == 400 and shipped <= 400 + 400 // 10 + 2 and rest == 0
+
+    # Parts of one block: each large one has its own leaves, which never meet one another.
+    schema = "doc_id long, f1 long, n long, block long, part long"
+    held = [(k, k, 100, 0, 0 if k < 300 else k) for k in range(303)]
+    cells = cut_cells(spark.createDataFrame(held, schema), 90, 20, 10**6).collect()
+    assert len(cells) < 303 + 3 * 40
+    met = {}
+    for r in cells:
+        met.setdefault(r["cell"], []).append((r["doc_id"], r["leaf"]))
+    assert max(map(len, met.values())) <= 40
+    pairs = {
+        frozenset((a, b))
+        for cell in met.values()
+        for a, leaf in cell
+        for b, other in cell
+        if a != b and (leaf != other or len({x for _, x in cell}) == 1)
+    }
+    assert all(frozenset((k, s)) in pairs for s in (300, 301, 302) for k in range(303) if k != s)
