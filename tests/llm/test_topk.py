@@ -58,3 +58,21 @@ def test_clustered_vectors_are_pruned_without_loss(spark):
 
 def test_no_rows(spark):
     assert topk.top_k(make(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e6, 1e7, 2e7])
+def test_large_components_are_exact(spark, size):
+    """Sums beyond what a double holds: scores of vectors that differ in one component by little."""
+    chance = random.Random(3)
+    rows = [(k, [float(round(chance.uniform(-size, size))) for _ in range(6)]) for k in range(200)]
+    df = spark.createDataFrame([(i, v, 1, 2, "s") for i, v in rows], SCHEMA)
+    exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute_force(exact)
+
+
+def test_scores_beyond_a_long_are_its_ends(spark):
+    rows = [(0, [1e12, 1e12]), (1, [1e12, 1e12]), (2, [-1e12, 0.0]), (3, [1.0, 0.0])]
+    got = {r["vec_id"]: r for r in topk.top_k(make(spark, rows), F.col("vec_id") == 0).collect()}
+    assert [got[k]["rank"] for k in (1, 3, 2)] == [1, 2, 3]
+    assert (got[1]["score"], got[2]["score"]) == (2**63 - 1, -(2**63))
