@@ -4,8 +4,10 @@ A message may hold ``<tool_call>{"id", "name", "arguments"}</tool_call>`` and
 ``<tool_result>{"id", "content"}</tool_result>`` parts. Calls and results of a conversation are
 hash-joined by identifier, one row per identifier on each side, so repeated identifiers cannot fan
 out. A call that names another's identifier as ``"$<id>"`` in its arguments depends on it; levels
-of the dependency graph are found by rounds of joins over calls only, each stored. Arguments are
-validated against the tools' schemas. Every message becomes one line of JSON with sorted keys.
+of the dependency graph are found by joins over calls only, each round stored: chains of calls with
+one need are followed by doubling jumps, in as many rounds as the logarithm of the longest, then
+calls with several needs in as many rounds as they are nested. Arguments are validated against the
+tools' schemas. Every message becomes one line of JSON with sorted keys.
 
 Messages without such parts, nearly all of them, are formatted in the scan and never shuffled;
 nothing is collected per conversation, so one may hold any share of all rows.
@@ -139,6 +141,31 @@ def tool_results(marked: DataFrame) -> DataFrame:
     )
 
 
+def _jumps(ids: DataFrame) -> DataFrame:
+    """(_conv, id, jump, dist): where the chain of calls with a single need ends, and its length.
+
+    Jumps double in each round. Those that lead to a cycle never end and still name a call with a
+    single need after as many rounds as the longest possible chain takes.
+    """
+    jumps = ids.where(F.size("needs") == 1).select("_conv", "id", F.col("needs")[0].alias("jump"), F.lit(1).cast("long").alias("dist"))
+    jumps = stored(jumps, "jumps")
+    for _ in range(jumps.count().bit_length() + 1):
+        ahead = jumps.select("_conv", F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("dist").alias("more"))
+        moved = jumps.join(ahead, ["_conv", "jump"], "left").select(
+            "_conv",
+            "id",
+            F.coalesce("next", "jump").alias("jump"),
+            (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"),
+            F.col("next").isNotNull().alias("moved"),
+        )
+        after = stored(moved, "jumps")
+        dropped(jumps)
+        jumps = after
+        if not jumps.where("moved").limit(1).count():
+            break
+    return jumps.select("_conv", "id", "jump", "dist")
+
+
 def call_levels(calls: DataFrame) -> DataFrame:
     """(_conv, id, level): 0 without dependencies, else one more than the deepest; -1 if none."""
     ids = stored(
@@ -147,23 +174,32 @@ def call_levels(calls: DataFrame) -> DataFrame:
         .agg(F.array_distinct(F.flatten(F.collect_set("needs"))).alias("needs")),
         "needs",
     )
-    levels = ids.withColumn("level", F.when(F.size("needs") == 0, 0).otherwise(-1)).select("_conv", "id", "level")
-    levels = stored(levels, "levels")
-    needs = ids.select("_conv", "id", F.explode("needs").alias("need"))
-    depth = 0
-    while needs.limit(1).count():
+    jumps = _jumps(ids)
+    ends = ids.where(F.size("needs") != 1)
+    start = F.when(F.size("needs") == 0, 0).otherwise(-1).cast("long")
+    levels = stored(ends.select("_conv", "id", start.alias("level"), F.lit(True).alias("fresh")), "levels")
+    # What calls with several needs wait for: the ends of the chains that they name.
+    several = ends.select("_conv", "id", F.explode("needs").alias("need"))
+    chains = jumps.withColumnRenamed("id", "need")
+    needs = several.join(chains, ["_conv", "need"], "left").select(
+        "_conv", "id", F.coalesce("jump", "need").alias("need"), F.coalesce("dist", F.lit(0)).alias("dist")
+    )
+    needs = stored(needs, "needs")
+    while needs.limit(1).count() and levels.where("fresh").limit(1).count():
         known = levels.select("_conv", F.col("id").alias("need"), F.col("level").alias("below"))
         ready = needs.join(known, ["_conv", "need"], "left").groupBy("_conv", "id")
-        ready = ready.agg(F.min(F.coalesce("below", F.lit(-1))).alias("least"), F.max("below").alias("most"))
-        fresh = ready.where((F.col("least") >= 0) & (F.col("most") == depth))
-        after = levels.join(fresh.select("_conv", "id", "most"), ["_conv", "id"], "left")
-        now = F.when(F.col("level") < 0, F.coalesce(F.col("most") + 1, "level")).otherwise(F.col("level"))
-        after = stored(after.select("_conv", "id", now.alias("level")), "levels")
+        deepest = F.max(F.col("below") + F.col("dist")).alias("most")
+        ready = ready.agg(F.min(F.coalesce("below", F.lit(-1))).alias("least"), deepest).where("least >= 0")
+        after = levels.join(ready.select("_conv", "id", "most"), ["_conv", "id"], "left")
+        fresh = (F.col("level") < 0) & F.col("most").isNotNull()
+        now = F.when(fresh, F.col("most") + 1).otherwise(F.col("level"))
+        after = stored(after.select("_conv", "id", now.alias("level"), fresh.alias("fresh")), "levels")
         dropped(levels)
-        levels, depth = after, depth + 1
-        if not levels.where(F.col("level") == depth).limit(1).count():
-            break
-    return levels
+        levels = after
+    below = levels.select("_conv", F.col("id").alias("jump"), F.col("level").alias("below"))
+    deeper = F.when(F.col("below") >= 0, F.col("below") + F.col("dist")).otherwise(-1)
+    along = jumps.join(below, ["_conv", "jump"], "left").select("_conv", "id", deeper.alias("level"))
+    return levels.select("_conv", "id", "level").union(along).withColumn("level", F.col("level").cast("int"))
 
 
 def _ordered(parts: str, kind: str, schema: str) -> Column:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 from pseudora.llm import chatformat
 
@@ -108,3 +109,46 @@ def test_parts_are_numbered_in_topological_order(spark):
     assert [c["id"] for c in sorted(made, key=lambda c: c["order"])] == ["b", "e", "c", "a", "d"]
     results = json.loads(found[1, 1][0]["message"])["tool_results"]
     assert [r["id"] for r in sorted(results, key=lambda r: r["order"])] == ["b", "c", "a", "none"]
+
+
+def plain_levels(needs):
+    """Levels by repeated passes over all calls."""
+    levels = dict.fromkeys(needs, -1)
+    for _ in needs:
+        for k, named in needs.items():
+            below = [levels.get(n, -1) for n in named]
+            levels[k] = -1 if -1 in below else 1 + max(below, default=-1)
+    return levels
+
+
+def levels_of(spark, conversations):
+    rows = [(c, k, sorted(named)) for c, needs in conversations.items() for k, named in needs.items()]
+    calls = spark.createDataFrame(rows, "_conv long, id string, needs array<string>")
+    found = {(r["_conv"], r["id"]): r["level"] for r in chatformat.call_levels(calls).collect()}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_levels_equal_repeated_passes(spark):
+    chance = random.Random(6)
+    conversations = {}
+    for c in range(40):
+        names = [f"n{k}" for k in range(chance.randint(1, 25))]
+        conversations[c] = needs = {}
+        for k, n in enumerate(names):
+            back = names[: k + (chance.random() < 0.04)] + ["gone"] * (chance.random() < 0.05)
+            needs[n] = set(chance.sample(back, min(len(back), chance.choice([0, 1, 1, 1, 2, 3]))))
+    conversations[50] = {"a": {"b"}, "b": {"a"}, "c": {"a"}, "d": {"c", "e"}, "e": set(), "f": {"f"}, "g": {"e"}}
+    want = {(c, k): level for c, needs in conversations.items() for k, level in plain_levels(needs).items()}
+    assert levels_of(spark, conversations) == want
+    assert {-1, 0, 1, 5} <= set(want.values())
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    kept, rounds = chatformat.stored, []
+    monkeypatch.setattr(chatformat, "stored", lambda df, name: rounds.append(name) or kept(df, name))
+    chain = {f"n{k}": {f"n{k - 1}"} if k else set() for k in range(10_000)}
+    found = levels_of(spark, {1: chain | {"top": {"n9999", "n3"}, "over": {"top"}}})
+    assert all(found[1, f"n{k}"] == k for k in range(10_000))
+    assert (found[1, "top"], found[1, "over"]) == (10_000, 10_001)
+    assert len(rounds) < 25
