@@ -47,6 +47,7 @@ SIZE, PERCENT = 3, 90
 GROUPS, NODE = 64, 24
 CELL_DOCS, CELL_GRAMS = 768, 1_000_000
 BROADCAST_MEMBERS = 500_000
+BATCH_ROWS = 256
 _U = np.uint64
 _HALF = _U(32)
 
@@ -108,6 +109,13 @@ class TileKeys:
         return np.concatenate(keys).view(np.int64) if keys else np.empty(0, dtype=np.int64)
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, so that texts and keys of few rows are in Python's memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _describe(size: int, percent: int):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("keys", pa.list_(pa.int64()))]
@@ -115,7 +123,7 @@ def _describe(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = TileKeys(percent)
-        for batch in batches:
+        for batch in _short(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             counts, prints, keys = [], [], []
             for grams in sets_of(texts, size):
@@ -136,7 +144,7 @@ def _set_rows(size: int):
     schema = pa.schema([("doc_id", pa.int64()), ("f1", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _short(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             wanted = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist(), strict=True)
             ids = batch.column("doc_id").to_pylist()
