@@ -138,6 +138,15 @@ def test_what_a_profile_shuffles_does_not_depend_on_the_length_of_texts(spark):
     assert shuffled(100) == shuffled(20_000)
 
 
+def test_values_of_one_split_are_counted_in_tasks_of_bounded_size(spark):
+    df = spark.range(0, 500, 1, 1).selectExpr(
+        "id", "concat('v', id % 7) AS v", "CASE WHEN id % 3 = 0 THEN id / 2 END AS n", "repeat('x', 100 + id % 2) AS t"
+    )
+    many = profiling.value_counts(df, df.columns, cells_per_task=200)
+    assert "10), REPARTITION_BY_NUM" in plan(many)
+    assert rows(many) == rows(profiling.value_counts(df, df.columns))
+
+
 def test_profile_needs_tables_and_columns(spark):
     with pytest.raises(ValueError, match="tables"):
         profiling.profile_sources(spark=spark, specs=[], target_table="x", batch_id="b")
