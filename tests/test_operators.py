@@ -159,6 +159,21 @@ def test_profile_needs_tables_and_columns(spark):
 # --- mapping ----------------------------------------------------------------------------------
 
 
+def test_a_name_with_many_rows_and_concepts_is_cut_by_its_pairs(spark):
+    names = spark.range(0, 310, 1, 1).selectExpr(
+        "'s' AS source_system", "concat('t', id) AS table_name", "CASE WHEN id < 300 THEN 'id' ELSE concat('c', id) END AS column_name",
+        "id AS row_count", "0.5D AS null_rate", "id AS distinct_count", "0.5D AS distinct_rate", "'id' AS inferred_type",
+    )
+    concepts = spark.range(0, 40, 1, 1).selectExpr(
+        "concat('k', id) AS concept_id", "concat('n', id, ' id') AS concept_name", "concat('f', id, '_id') AS canonical_field_name",
+        "'NONE' AS pii_category", "'d' AS description",
+    )
+    cut = mapping.match_flags(names, concepts, pairs_per_task=500)
+    per_task = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 300 * 40 and max(per_task) <= 3_000
+    assert rows(cut) == rows(mapping.match_flags(names, concepts))
+
+
 @pytest.fixture(scope="module")
 def metadata(spark):
     names = [
