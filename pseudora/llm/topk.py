@@ -35,6 +35,7 @@ PIVOTS = 16
 SCALE = 64
 QUERY_BLOCK, VECTOR_BLOCK = 1024, 16_384
 _STEP = 512
+_FEW = 8  # less than this part of a block is taken out of it
 
 
 def quantized(embedding: Column, scale: int = SCALE) -> Column:
@@ -79,6 +80,8 @@ def _exact_type(vectors: np.ndarray, queries: np.ndarray) -> type:
     """The narrowest type that holds every product and its partial sums exactly."""
     largest = float(np.abs(vectors.astype(np.float64)).max()) * float(np.abs(queries.astype(np.float64)).max())
     largest *= vectors.shape[1] * (1 + 1e-9)
+    if largest < 2.0**24:
+        return np.float32
     return np.float64 if largest < 2.0**53 else np.int64 if largest < 2.0**63 else object
 
 
@@ -117,13 +120,13 @@ def _search(q: pd.DataFrame, x: pd.DataFrame, pivots, longest: float, top: int,
     vectors, queries = np.stack(x["v"].to_numpy())[by_id], np.stack(q["v"].to_numpy())
     query_ids = q["vec_id"].to_numpy(dtype=np.int64)
     exact = _exact_type(vectors, queries)
-    if exact is not np.float64 or not pivots:
+    if exact not in (np.float32, np.float64) or not pivots:
         vectors, queries = vectors.astype(exact), queries.astype(exact)
         open_end = np.full(len(ids), np.inf)
         for k in range(len(q)):
             _keep(result, query_ids[k], *_in_bound_order(ids, vectors, queries[k], open_end, query_ids[k], top))
         return
-    vectors, queries = vectors.astype(np.float64), queries.astype(np.float64)
+    vectors, scored_queries, queries = vectors.astype(exact), queries.astype(exact), queries.astype(np.float64)
     query_norms = (queries**2).sum(axis=1)
     anchors = np.asarray(pivots, dtype=np.float64)
     to_queries = np.sqrt(np.maximum(query_norms[:, None] + (anchors**2).sum(axis=1) - 2 * queries @ anchors.T, 0))
@@ -136,7 +139,7 @@ def _search(q: pd.DataFrame, x: pd.DataFrame, pivots, longest: float, top: int,
         # A bound on the distance is one on the score; a little slack covers rounding.
         most = longest + query_norms[k]
         ceiling = (most * (1 + 1e-12) - (bound.astype(np.float64) - slack).clip(0) ** 2) / 2
-        _keep(result, query_ids[k], *_in_bound_order(ids, vectors, queries[k], ceiling, query_ids[k], top))
+        _keep(result, query_ids[k], *_in_bound_order(ids, vectors, scored_queries[k], ceiling, query_ids[k], top))
 
 
 def _keep(result: dict, query_id: int, best_ids: np.ndarray, best: np.ndarray) -> None:
@@ -148,7 +151,7 @@ def _keep(result: dict, query_id: int, best_ids: np.ndarray, best: np.ndarray) -
 def _in_bound_order(ids, vectors, query, ceiling, own_id, top):
     """The best ``top`` of one block, looked at from the highest ceiling down."""
     best_ids, best = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    step, done = _STEP, 0
+    step = _STEP
     rest = np.arange(len(ids))
     while len(rest):
         if step < len(rest):
@@ -156,14 +159,19 @@ def _in_bound_order(ids, vectors, query, ceiling, own_id, top):
             chosen, rest = rest[split[:step]], rest[split[step:]]
         else:
             chosen, rest = rest, rest[:0]
-        chosen = chosen[ids[chosen] != own_id]
-        scores = _as_long(vectors[chosen] @ query)
-        best_ids, best = np.concatenate([best_ids, ids[chosen]]), np.concatenate([best, scores])
+        # Most of a block is scored where it lies; few rows are taken out of it.
+        scores = (vectors @ query)[chosen] if _FEW * len(chosen) > len(ids) else vectors[chosen] @ query
+        scores = _as_long(scores)
+        other = ids[chosen] != own_id
+        if len(best) == top:
+            other &= scores >= best[-1]
+        best_ids, best = np.concatenate([best_ids, ids[chosen[other]]]), np.concatenate([best, scores[other]])
         order = np.lexsort((best_ids, ~best))[:top]  # ~ reverses the order of all longs
         best_ids, best = best_ids[order], best[order]
         if len(best) == top:
             rest = rest[ceiling[rest] >= best[-1]]
-        done, step = done + step, step * 4
+        # The first look sets the bar; if much is left above it, one product takes all of it.
+        step = len(rest) if _FEW * len(rest) > len(ids) else step * 4
     return best_ids, best
 
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +78,17 @@ def test_scores_beyond_a_long_are_its_ends(spark):
     got = {r["vec_id"]: r for r in topk.top_k(make(spark, rows), F.col("vec_id") == 0).collect()}
     assert [got[k]["rank"] for k in (1, 3, 2)] == [1, 2, 3]
     assert (got[1]["score"], got[2]["score"]) == (2**63 - 1, -(2**63))
+
+
+@pytest.mark.parametrize(("scale", "kind"), [(1, np.float32), (1_000, np.float64), (10**8, np.int64)])
+def test_a_block_is_searched_in_the_narrowest_exact_type(scale, kind):
+    vectors = np.random.default_rng(5).integers(-9, 10, (3_000, 8)) * scale
+    assert topk._exact_type(vectors, vectors) is kind
+    pivots, longest = vectors[:4].tolist(), float((vectors.astype(float) ** 2).sum(axis=1).max())
+    far = np.sqrt(np.maximum(longest + (vectors[:4].astype(float) ** 2).sum(axis=1) - 2 * vectors.astype(float) @ vectors[:4].T.astype(float), 0))
+    block = pd.DataFrame({"vec_id": np.arange(3_000), "v": list(vectors), "far": list(far.astype(np.float32)), "side": 1, "copies": 1})
+    found = topk._block_search(pivots, longest, 20)(pd.concat([block[:30].assign(side=0), block], ignore_index=True))
+    for k, rows in found.groupby("query_id"):
+        scores = vectors @ vectors[k]
+        best = [i for i in np.lexsort((np.arange(3_000), -scores)) if i != k][:20]
+        assert rows.vec_id.tolist() == best and rows.score.tolist() == scores[best].tolist()
