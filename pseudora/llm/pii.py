@@ -43,6 +43,7 @@ KINDS = ("email", "ip", "card", "phone", "found")
 ROUNDS, BELIEVED, PRIOR, LEAST_SEEDS = 3, 0.6, 2.0, 3
 CANDIDATE_DIGITS = 5
 BROADCAST_PATTERNS, BROADCAST_CHARS = 100_000, 16_000_000
+FEW = 50  # so few patterns or words are looked for in a text as they are, before it is cut into tokens
 
 # The base patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -100,7 +101,6 @@ def base_spans(text: str) -> list[Span]:
 
 
 _TOKEN = re.compile(r"(?:[^\W\d_]+(?:[._'-][^\W\d_]+)*|\d+|[._%+-])[^\w\s.%+-]*|[^\w\s.%+-]+|\w")
-_NONZERO = re.compile(r"[1-9]")
 
 
 def flat(text: str) -> str:
@@ -108,13 +108,25 @@ def flat(text: str) -> str:
     lower = text.lower()
     if len(lower) != len(text):
         lower = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
-    return _NONZERO.sub("0", lower)
+    for digit in "123456789":
+        lower = lower.replace(digit, "0")
+    return lower
 
 
 def _tokens(text: str) -> tuple[list[str], list[int]]:
     """The tokens of a text and where they end."""
-    found = [(m.group(), m.end()) for m in _TOKEN.finditer(flat(text))]
-    return [t for t, _ in found], [end for _, end in found]
+    low = flat(text)
+    words = _TOKEN.findall(low)
+    return words, _ends(low, words)
+
+
+def _ends(text: str, words: list[str]) -> list[int]:
+    """Where words end that follow one another with nothing between them that a word begins with."""
+    ends, at = [], 0
+    for word in words:
+        at = text.index(word, at) + len(word)
+        ends.append(at)
+    return ends
 
 
 def _before(tokens: tuple[list[str], list[int]], start: int) -> str:
@@ -219,9 +231,9 @@ _GROUPS = re.compile(r"(?:[\x20\xa0][A-Za-z-]*[0-9][A-Za-z0-9-]*){1,4}")
 _MASKED = re.compile(rf"(?:\s?[\[({{<](?:at|dot|@|\.)[\])}}>]\s?[^{_MARKS}]*[^\W_])+", re.IGNORECASE)
 
 
-def _until(text: str, core: re.Match[str]) -> int:
-    more = _MASKED.match(text, core.end(1)) or (_DIGIT.search(core[1]) and _GROUPS.match(text, core.end(1)))
-    return more.end() if more else core.end(1)
+def _until(text: str, core: str, end: int) -> int:
+    more = _MASKED.match(text, end) or (_DIGIT.search(core) and _GROUPS.match(text, end))
+    return more.end() if more else end
 
 
 def _table(name: str, counts: Counter[str]) -> pd.DataFrame:
@@ -233,21 +245,31 @@ def _following(good):
 
     def run(texts: pd.Series) -> pd.Series:
         only = good.value if good is not None else None
+        few = [pattern.split(" ") for pattern in only] if only is not None and len(only) <= FEW else None
         rows = []
         for text in texts:
             text = text or ""
-            words, ends = tokens = _tokens(text)
+            low = flat(text)
+            if few is not None and not any(a in low and b in low for a, b in few):
+                rows.append([])
+                continue
+            words = _TOKEN.findall(low)
             runs = enumerate(map(" ".join, zip(words, words[1:], strict=False)), 1)
             hits = [(at, pattern) for at, pattern in runs if only is None or pattern in only]
-            base = base_spans(text) if hits else []
-            found_before = _Cover([(a, b) for a, b, *_ in candidates(text, base)] if hits else [])
+            if not hits:
+                rows.append([])
+                continue
+            ends = _ends(low, words)
+            tokens = words, ends
+            base = base_spans(text)
+            found_before = _Cover([(a, b) for a, b, *_ in candidates(text, base)])
             cover = _Cover([(a, b) for _, a, b in base])
             found = []
             for at, pattern in hits:
                 core = _NEXT.match(text, ends[at])
                 if core is None or _before(tokens, core.start(1)) != pattern:
                     continue
-                a, b = core.start(1), _until(text, core)
+                a, b = core.start(1), _until(text, core[1], core.end(1))
                 if not cover.touches(a, b) and not found_before.touches(a, a + 1):
                     found.append((a, b, pattern, text[a:b]))
             rows.append(found)
@@ -265,9 +287,15 @@ def _standing(wanted):
         for batch in batches:
             counts: Counter[str] = Counter()
             for text in batch["text"]:
-                for core in _CORE.finditer(text or ""):
-                    if heads is None or core[1] in heads:
-                        counts[text[core.start(1) : _until(text, core)]] += 1
+                text = text or ""
+                if heads is not None and len(heads) <= FEW and not any(head in text for head in heads):
+                    continue
+                cores = _CORE.findall(text)
+                if heads is not None and heads.isdisjoint(cores):
+                    continue
+                for core, end in zip(cores, _ends(text, cores), strict=True):
+                    if heads is None or core in heads:
+                        counts[text[end - len(core) : _until(text, core, end)]] += 1
             if only is not None:
                 counts = Counter({value: n for value, n in counts.items() if value in only})
             yield _table("value", counts)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 
 from pseudora.llm import pii
@@ -176,3 +177,29 @@ def test_base_counts_and_digests_in_sql(documents, prose):
         spans = [f"email:{m.start()}:{m.end()}" for m in pattern.finditer(text or "")]
         assert found[key]["n_email"] == len(spans)
         assert found[key]["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+
+
+def test_words_are_placed_without_a_match_each():
+    for text in map(pii.flat, filter(None, TEXTS)):
+        assert pii._tokens(text) == ([m.group() for m in pii._TOKEN.finditer(text)], [m.end() for m in pii._TOKEN.finditer(text)])
+    for text in filter(None, TEXTS):
+        found = list(pii._CORE.finditer(text))
+        assert pii._ends(text, pii._CORE.findall(text)) == [m.end(1) for m in found]
+
+
+def test_texts_without_a_good_pattern_are_not_cut(monkeypatch):
+    class Cut:
+        def findall(self, text):
+            cut.append(text)
+            return tokens.findall(text)
+
+        finditer = findall
+
+    class Shared:
+        value = {"phone no:"}
+
+    cut, tokens = [], pii._TOKEN
+    monkeypatch.setattr(pii, "_TOKEN", Cut())
+    found = list(pii._following(Shared)(pd.Series(["plain words", None, "Phone no: seven", "no: phone"])))
+    assert [[s[3] for s in spans] for spans in found] == [[], [], ["seven"], []]
+    assert cut == ["phone no: seven", "no: phone"]
