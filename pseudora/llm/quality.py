@@ -108,8 +108,12 @@ def statistics(texts: list[bytes]) -> np.ndarray:
 
 
 def _statistics_of(texts: pd.Series) -> pd.DataFrame:
-    raw = [b"" if t is None else t.encode() for t in texts]
-    return pd.DataFrame(statistics(raw), columns=list(STATISTICS))
+    """Few texts at a time are held as bytes beside the batch."""
+    values = texts.to_numpy()
+    found = [np.empty((0, len(STATISTICS)))]
+    for first, last in textvec.size_ranges([0 if t is None else len(t) for t in values]):
+        found.append(statistics([b"" if t is None else t.encode() for t in values[first:last]]))
+    return pd.DataFrame(np.concatenate(found), columns=list(STATISTICS))
 
 
 def statistics_column(text: Column) -> Column:

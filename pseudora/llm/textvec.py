@@ -9,7 +9,7 @@ import numpy as np
 _U = np.uint64
 _SPLIT = (_U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
 _RADIX = _U(0xD1342543DE82EF95)  # odd, hence invertible modulo 2**64
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18  # arrays over a batch's bytes take up to a hundred times as much
 
 WORD = np.ones(256, dtype=bool)
 WORD[[9, 10, 11, 12, 13, 32]] = False

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pseudora.llm import labelled, quality, toxicity
@@ -78,6 +80,21 @@ def test_statistics_of_small_texts():
     assert not empty.any()
 
 
+def test_statistics_of_a_large_batch_take_little_memory():
+    texts = [f"{k} Several words of a Text, 12 in all. " * 50 for k in range(8000)] + [None, ""]
+    batch = pd.Series(texts)
+    tracemalloc.start()
+    try:
+        found = quality._statistics_of(batch)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(t or "") for t in texts) > 15_000_000 and most < 40_000_000
+    some = [0, 4321, 8000, 8001]
+    want = quality.statistics([(texts[k] or "").encode() for k in some])
+    assert np.array_equal(found.to_numpy()[some], want)
+
+
 def test_lasso_drops_useless_rules():
     chance = np.random.default_rng(0)
     x = chance.random((600, len(quality.STATISTICS)))
