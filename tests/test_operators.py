@@ -741,6 +741,21 @@ def test_finer_keys_lose_nothing(spark):
     assert sorted(map(tuple, pairs.block_pairs(same_day, group_most=5).collect())) == want
 
 
+def test_pairs_move_without_the_columns_that_nobody_asks_for(spark):
+    found = pairs.block_pairs(crowd(spark, 40)).select("left_source_record_id", "right_source_record_id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "source_record_id" in plan and "email_hash" not in plan and "address_text" not in plan
+
+
+def test_a_record_that_stands_for_much_is_paired_once(spark):
+    """Both share e-mail, phone, birth date and name, and score as close: one pair."""
+    rows = [("crm", f"{k}", "jan vrba", "1964-05-30", "77900", f"u mostu {k}", "m", "p", True) for k in range(2)]
+    rows += [("erp", f"{k}", *rows[k][2:]) for k in range(2)]
+    found = pairs.block_pairs(spark.createDataFrame(rows, crowd(spark, 1).schema)).collect()
+    got = sorted((r.left_source_system, r.left_source_record_id, r.right_source_system, r.right_source_record_id) for r in found)
+    assert got == [("crm", "0", "crm", "1"), ("crm", "0", "erp", "0"), ("crm", "1", "erp", "1")]
+
+
 def test_members_of_a_hot_class_are_spread(spark):
     rows = [("crm", f"{k:05}", "jan vrba", "1964-05-30", "77900", "u mostu 4", None, None, True) for k in range(3000)]
     df = spark.createDataFrame(rows, crowd(spark, 1).schema)
