@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from pseudora.llm import decontamination as d
 
@@ -71,3 +73,27 @@ def test_empty_tables(spark, documents):
     assert d.contamination_report(documents([]), bench).count() == 0
     row = d.contamination_report(documents([(1, "a b")]), bench).first()
     assert (row["n_words"], row["n_hit"], row["contaminated"]) == (2, 0, False)
+
+
+def test_words_of_every_kind_of_character(evaluate):
+    odd = [*range(0x180), 0x345, 0x2028, 0xD7FF, 0xE000, 0xFFFD, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]
+    texts = [f"aZ9{chr(c)}Q0 {chr(c)}{chr(c)}-x" for c in odd]
+    assert evaluate(d.words_of, texts) == [words(t) for t in texts]
+    counts = evaluate(lambda v: F.regexp_count(v, F.lit(d.WORD_ANY_CASE)), texts)
+    assert counts == [len(words(t)) for t in texts]
+
+
+@pytest.mark.parametrize("word", [d.WORD, d.WORD_ANY_CASE])
+def test_words_cost_little_more_than_runs_of_a_plain_class(spark, word):
+    text = F.concat(F.col("id").cast("string"), F.lit(" some plain words, 1 \u00e9t\u00e9;" * 200))
+    texts = spark.range(0, 4000, 1, 8).select(text.alias("text"))
+
+    def seconds(pattern):
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            texts.agg(F.sum(F.regexp_count("text", F.lit(pattern)))).first()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(word) < 4 * seconds("[^ ]+")
