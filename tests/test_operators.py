@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pseudora.operators import bronze, controls, eligibility, identity, mapping,
 from pseudora.operators import reports
 from pseudora.plans import skew
 from pseudora.sources import tables
+from workloads import queries
 
 TS = datetime(2025, 1, 1)
 
@@ -685,6 +687,57 @@ def test_no_pair_that_reaches_the_threshold_is_left_out(spark, threshold, rows_p
     assert set(rows) == want
 
 
+ELIGIBLE = (
+    "source_system string, source_record_id string, standard_name string, date_of_birth string, postal_code string, "
+    "address_text string, email_hash string, phone_hash string, can_process_for_entity_resolution boolean"
+)
+
+
+def every_pair(people, threshold):
+    """Brute force: scores by pair, of all that reach the threshold or share an identifier and more."""
+    allowed = sorted({p for p in people if p[8]}, key=lambda p: p[:2])
+
+    def same(a, b, key):
+        return bool(a[key]) and a[key] == b[key]
+
+    def names(p):
+        return sorted(p[2].split()) if p[2] else None
+
+    found = {}
+    for k, b in enumerate(allowed):
+        for a in allowed[:k]:
+            known = same(a, b, 3) or (names(a) and names(a) == names(b))
+            score = person_score(a, b)
+            if a[:2] != b[:2] and (score >= threshold or (known and (same(a, b, 6) or same(a, b, 7)))):
+                found[a[:2], b[:2]] = score
+    return found
+
+
+@pytest.mark.parametrize(
+    ("threshold", "rows_per_task", "group_most"),
+    [(0.75, 4, 2000), (0.65, 10**6, 3), (0.75, 10**6, 2), (0.38, 10**6, 5), (0.1, 50, 10)],
+)
+def test_members_of_classes_are_paired_with_all_others(spark, threshold, rows_per_task, group_most):
+    people = some_people()
+    df = spark.createDataFrame(people + people[:7], ELIGIBLE)
+    found = pairs.block_pairs(df, threshold=threshold, rows_per_task=rows_per_task, group_most=group_most, every=True)
+    rows = [tuple(r[:2]) + tuple(r[8:10]) for r in found.collect()]
+    assert len(rows) == len(set(rows))
+    assert {(r[:2], r[2:]) for r in rows} == every_pair(people, threshold).keys()
+
+
+@pytest.mark.parametrize("name", ["pair_classification"])
+def test_queries_return_every_pair(spark, name):
+    """Two classes of two and three records of one mailbox, all of them alike."""
+    rows = [("crm", f"{k}", "jan vrba", "1964-05-30", "77900", "u mostu 4", "m", None, True) for k in range(2)]
+    rows += [("erp", f"{k}", "jan vrba", "1964-05-30", "77900", "u mostu 5", "m", None, True) for k in range(3)]
+    df = spark.createDataFrame(rows, ELIGIBLE)
+    inputs = SimpleNamespace(eligibility=lambda: df, stored=lambda df: df)
+    got = queries.QUERIES[name](inputs).collect()
+    assert sorted(((r[0], r[1]), (r[2], r[3])) for r in got) == sorted(every_pair(rows, 0.75))
+    assert len(got) == 10
+
+
 def test_blocks():
     assert [b.exact for b in pairs.blocks_for(0.75)] == [("born", "code"), ("born",), ("code",)]
     assert [b.finer[0] if b.finer else None for b in pairs.blocks_for(0.75)] == ["name", "name", None]
