@@ -726,7 +726,7 @@ def test_members_of_classes_are_paired_with_all_others(spark, threshold, rows_pe
     assert {(r[:2], r[2:]) for r in rows} == every_pair(people, threshold).keys()
 
 
-@pytest.mark.parametrize("name", ["pair_classification", "pair_exact_features"])
+@pytest.mark.parametrize("name", ["pair_classification", "pair_exact_features", "pair_weighted_score"])
 def test_queries_return_every_pair(spark, name):
     """Two classes of two and three records of one mailbox, all of them alike."""
     rows = [("crm", f"{k}", "jan vrba", "1964-05-30", "77900", "u mostu 4", "m", None, True) for k in range(2)]
