@@ -738,6 +738,39 @@ def test_queries_return_every_pair(spark, name):
     assert len(got) == 10
 
 
+def test_found_pairs_are_not_shuffled(spark):
+    """Each pair is found once, with its records and scores: no step puts pairs together again."""
+    df = spark.createDataFrame(some_people(), ELIGIBLE)
+    found = pairs.score_pairs(pairs.block_pairs(df, every=True, scored=True))
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in optimized and optimized.count("Join") == 2
+
+
+def test_scores_that_pairs_have_are_not_computed_again(spark):
+    people = some_people()
+    df = spark.createDataFrame(people, ELIGIBLE)
+    for every in (False, True):
+        for most in (3, 2000):
+            plain = pairs.block_pairs(df, every=every, group_most=most)
+            scored = pairs.block_pairs(df, every=every, group_most=most, scored=True)
+            assert scored.columns == [*plain.columns, *pairs.SCORES]
+            want, got = pairs.score_pairs(plain), pairs.score_pairs(scored)
+            assert rows(got.select(*sorted(want.columns))) == rows(want.select(*sorted(want.columns)))
+    given = plain.limit(1).selectExpr("*", *[f"0.5D AS {name}" for name in pairs.SCORES])
+    assert pairs.score_pairs(given).first().score == 0.5
+
+
+def test_a_join_of_many_tests_gets_tasks_to_match(spark, monkeypatch):
+    """However few bytes it reads; and all pairs are found."""
+    people = some_people()
+    df = spark.createDataFrame(people, ELIGIBLE)
+    monkeypatch.setattr(pairs, "TESTS_PER_TASK", 100)
+    found = pairs.block_pairs(df, every=True)
+    got = [((r[0], r[1]), (r[8], r[9])) for r in found.collect()]
+    assert sorted(got) == sorted(every_pair(people, 0.75))
+    assert found.rdd.getNumPartitions() > 2 * 8
+
+
 def test_blocks():
     assert [b.exact for b in pairs.blocks_for(0.75)] == [("born", "code"), ("born",), ("code",)]
     assert [b.finer[0] if b.finer else None for b in pairs.blocks_for(0.75)] == ["name", "name", None]
