@@ -8,6 +8,7 @@ import unicodedata
 from datetime import date
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -217,6 +218,20 @@ def test_lcs_lengths(pairs):
     assert got == expected
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=30), st.sampled_from([0, 40, 10**6]))
+def test_lcs_of_batches_and_tables_of_any_size(pairs, table):
+    """Repeated texts are read once, and a table too large is not made."""
+    pairs = pairs + [(b, a) for a, b in pairs] + pairs
+    expected = [None if None in p else lcs_by_table(*p) for p in pairs]
+    left, right = (pa.array([p[k] for p in pairs], type=pa.string()) for k in (0, 1))
+    most, lcs._TABLE = lcs._TABLE, table
+    try:
+        assert lcs.lcs_column.func(left, right).to_pylist() == expected
+    finally:
+        lcs._TABLE = most
+
+
 def test_similarities(spark):
     rows = [
         ("Věra Müllerová", "mullerova  VERA", 1.0),
